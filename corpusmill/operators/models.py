@@ -103,19 +103,20 @@ def encode_batches(
     encoder_id: str = "encoder",
     decoder: Callable[[bytes], np.ndarray] = decode_rgb,
 ) -> DataFrame:
-    """``path, caption, latent, shape, ..., reason``; a row that fails has NULL latent and a reason.
+    """``path, caption, [dataset, ordinal,] latent, shape, ..., reason``; a row that fails has NULL
+    latent and a reason.
 
-    ``rows`` has ``path`` and ``caption`` and either ``content`` (file bytes) or the image source's
+    ``rows`` has ``path``, ``caption`` and either ``content`` (file bytes) or the image source's
     ``verdict, n_channels, data``. Keep ``spark.sql.execution.arrow.maxRecordsPerBatch`` near the
     batch size: images are large.
     """
     decoded = "data" in rows.columns
+    carried = ["path", "caption", *[c for c in ("dataset", "ordinal") if c in rows.columns]]
     if decoded:
-        flat = rows.select(
-            "path", "caption", "data", "n_channels", F.col("verdict.height").alias("height"), F.col("verdict.width").alias("width")
-        )
+        size = [F.col(f"verdict.{side}").alias(side) for side in ("height", "width")]
+        flat = rows.select(*carried, "data", "n_channels", *size)
     else:
-        flat = rows.select("path", "caption", "content")
+        flat = rows.select(*carried, "content")
 
     def pixels(row) -> np.ndarray:
         if decoded:
@@ -127,9 +128,11 @@ def encode_batches(
         for pdf in pdfs:
             for start in range(0, len(pdf), batch_size):
                 part = pdf.iloc[start : start + batch_size]
-                yield _encode_part(part, pixels, model, image_size, scale)
+                latents, shapes, reasons = _encode_part(part, pixels, model, image_size, scale)
+                yield part[carried].assign(latent=latents, shape=shapes, reason=reasons)
 
-    schema = "path string, caption string, latent array<float>, shape array<int>, reason string"
+    schema = T.StructType(rows.select(*carried).schema.fields)
+    schema = schema.add("latent", "array<float>").add("shape", "array<int>").add("reason", "string")
     return (
         flat.mapInPandas(run, schema)
         .withColumn("image_size", F.lit(image_size))
@@ -138,7 +141,7 @@ def encode_batches(
     )
 
 
-def _encode_part(part: pd.DataFrame, pixels, model: Model, image_size: int, scale: float) -> pd.DataFrame:
+def _encode_part(part: pd.DataFrame, pixels, model: Model, image_size: int, scale: float):
     inputs, used, reasons = [], [], [None] * len(part)
     for at, row in enumerate(part.itertuples(index=False)):
         try:
@@ -154,15 +157,7 @@ def _encode_part(part: pd.DataFrame, pixels, model: Model, image_size: int, scal
         for at, latent in zip(used, encoded):
             latents[at] = latent.astype(np.float32).ravel()
             shapes[at] = list(latent.shape)
-    return pd.DataFrame(
-        {
-            "path": part["path"].to_numpy(),
-            "caption": part["caption"].to_numpy(),
-            "latent": latents,
-            "shape": shapes,
-            "reason": reasons,
-        }
-    )
+    return latents, shapes, reasons
 
 
 def drop_failed_encodes(encoded: DataFrame) -> DataFrame:

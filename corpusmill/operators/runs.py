@@ -15,13 +15,20 @@ CACHE_GB = 50
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def shard_coverage(log: DataFrame, shard: str = "shard", topk: int = TOP_SHARDS) -> DataFrame:
-    """The most frequent shards: ``shard, n, percent, hidden`` (how many shards are not listed)."""
-    counts = log.groupBy(F.col(shard).alias("shard")).agg(F.count("*").alias("n"))
+def shard_coverage(
+    log: DataFrame, shard: str = "shard", topk: int = TOP_SHARDS, order: str = "step"
+) -> DataFrame:
+    """The most frequent shards: ``shard, n, percent, hidden`` (how many shards are not listed).
+
+    Equal counts stand in first-seen order.
+    """
+    counts = log.groupBy(F.col(shard).alias("shard")).agg(
+        F.count("*").alias("n"), F.min(order).alias("_first")
+    )
     total = counts.agg(F.sum("n")).scalar()
     shards = counts.agg(F.count("*")).scalar()
     return (
-        counts.orderBy(F.desc("n"), "shard")
+        counts.orderBy(F.desc("n"), "_first")
         .limit(topk)
         .select(
             "shard",

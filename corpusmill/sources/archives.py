@@ -13,16 +13,17 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill.functions import paths
 from corpusmill.sources.files import list_files
 
 INDEX_SCHEMA = "archive string, member string, offset bigint, size bigint"
-MEMBER_SCHEMA = "archive string, member string, content binary"
 CHUNK_BYTES = 64 << 20
 BATCH_BYTES = 16 << 20
+_INDEX_ROWS = 10_000
 
 
 def _open(uri: str):
@@ -33,73 +34,75 @@ def _open(uri: str):
 
 
 def _index(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = ["archive", "member", "offset", "size"]
+    names = [field.split()[0] for field in INDEX_SCHEMA.split(", ")]
     for pdf in pdfs:
         for uri in pdf["archive"]:
             rows = []
             with _open(uri) as stream, tarfile.open(fileobj=stream, mode="r:") as tar:
                 for member in tar:
+                    tar.members = []  # the tar keeps every header it has seen; drop them as we go
                     if member.isfile():
                         rows.append((uri, member.name, member.offset_data, member.size))
-                    if len(rows) == 10_000:
+                    if len(rows) == _INDEX_ROWS:
                         yield pd.DataFrame(rows, columns=names)
                         rows = []
-                    tar.members = []  # keep memory flat over a long archive
             yield pd.DataFrame(rows, columns=names)
 
 
-def _read_members(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = ["archive", "member", "content"]
+def _contents(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in pdfs:
         for uri, members in pdf.groupby("archive", sort=False):
-            rows, held = [], 0
+            # Cut the rows so that one batch holds a bounded number of bytes (or one larger member).
+            parts = (members["size"].cumsum() - members["size"]) // BATCH_BYTES
             with _open(uri) as stream:
-                for row in members.itertuples(index=False):
-                    stream.seek(row.offset)
-                    rows.append((uri, row.member, stream.read(row.size)))
-                    held += row.size
-                    if held >= BATCH_BYTES:
-                        yield pd.DataFrame(rows, columns=names)
-                        rows, held = [], 0
-            if rows:
-                yield pd.DataFrame(rows, columns=names)
-
-
-def index_archives(archives: DataFrame) -> DataFrame:
-    """``archive, member, offset, size`` of the regular members; ``archives`` has ``archive`` (a path)."""
-    spread = archives.select("archive").repartition(F.col("archive"))
-    return spread.mapInPandas(_index, INDEX_SCHEMA)
+                for _, part in members.groupby(parts, sort=False):
+                    yield part.assign(content=[_read(stream, at, n) for at, n in zip(part["offset"], part["size"])])
 
 
-def expand_archives(archives: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Members as rows: ``archive, archive_id, member, key, ext, path, content``.
-
-    ``key`` is the member's name without extension; ``path`` is ``archive/member``.
-    """
-    index = index_archives(archives).withColumn("_chunk", F.floor(F.col("offset") / chunk_bytes))
-    members = (
-        index.repartition("archive", "_chunk")
-        .sortWithinPartitions("archive", "offset")
-        .drop("_chunk")
-        .mapInPandas(_read_members, MEMBER_SCHEMA)
-    )
-    return members.select(
-        "archive",
-        archive_id(F.col("archive")).alias("archive_id"),
-        "member",
-        paths.stem(F.col("member")).alias("key"),
-        paths.extension(F.col("member")).alias("ext"),
-        F.concat_ws("/", "archive", "member").alias("path"),
-        "content",
-    )
+def _read(stream, offset: int, size: int) -> bytes:
+    stream.seek(offset)
+    return stream.read(size)
 
 
-def archive_id(path):
+def archive_id(path: Column) -> Column:
     """The number an archive is named by."""
     return paths.number_in(paths.basename(path), r"^(\d+)\.tar$")
 
 
 def list_archives(spark: SparkSession, root: str) -> DataFrame:
+    """``archive`` (path), ``id`` (its number), ``length``."""
     return list_files(spark, root, "*.tar").select(
         F.col("path").alias("archive"), archive_id(F.col("path")).alias("id"), "length"
     )
+
+
+def index_archives(archives: DataFrame) -> DataFrame:
+    """Regular members without content: ``archive, member, offset, size, archive_id, key, ext, path``.
+
+    ``key`` is the member's name without extension; ``path`` is ``archive/member``.
+    """
+    spread = archives.select("archive").repartition("archive")
+    return (
+        spread.mapInPandas(_index, INDEX_SCHEMA)
+        .withColumn("archive_id", archive_id(F.col("archive")))
+        .withColumn("key", paths.stem(F.col("member")))
+        .withColumn("ext", paths.extension(F.col("member")))
+        .withColumn("path", F.concat_ws("/", "archive", "member"))
+    )
+
+
+def read_members(members: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Add ``content`` to index rows; other columns stay. Only narrow rows are shuffled."""
+    schema = T.StructType([*members.schema.fields, T.StructField("content", T.BinaryType())])
+    return (
+        members.withColumn("_chunk", F.floor(F.col("offset") / chunk_bytes))
+        .repartition("archive", "_chunk")
+        .drop("_chunk")
+        .sortWithinPartitions("archive", "offset")
+        .mapInPandas(_contents, schema)
+    )
+
+
+def expand_archives(archives: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """All members of the archives with their content."""
+    return read_members(index_archives(archives), chunk_bytes)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import paths
-from corpusmill.functions.text import manifest_line
+from corpusmill.functions.text import MANIFEST_SCHEMA, manifest_line, parsed_manifest_line
 from corpusmill.functions.vectors import LATENT_SCALE
 from corpusmill.operators import ordered
 from corpusmill.operators.sizing import broadcast_if_small
@@ -37,21 +37,6 @@ def index_of(ordinal: Column, size: int) -> Column:
     return F.pmod(ordinal, F.lit(size)).cast("bigint")
 
 
-def assign_shards(
-    rows: DataFrame,
-    key: str,
-    order: Sequence[str],
-    size: int = SHARD_SIZE,
-    start: int = 0,
-    by: Sequence[str] = (),
-    partitions: int | None = None,
-) -> DataFrame:
-    """Add ``shard`` and ``index``: every ``size`` rows in order make a shard, the last may be short."""
-    numbered = ordered.number_rows(rows, key, order, by, "_at", partitions)
-    at = F.col("_at")
-    return numbered.withColumn("shard", shard_of(at, size, start)).withColumn("index", index_of(at, size)).drop("_at")
-
-
 def with_shards(
     keys: DataFrame,
     order: Sequence[str],
@@ -66,82 +51,109 @@ def with_shards(
     return numbered.withColumn("shard", shard_of(at, size, start)).withColumn("index", index_of(at, size)).drop("_at")
 
 
-def _if_there(df_of, missing):
-    try:
-        return df_of()
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return missing
+def shard_folder(root: str) -> str:
+    return f"{root.rstrip('/')}/shards"
 
 
-def next_shard_number(spark: SparkSession, root: str, dataset: str) -> int:
-    """Largest shard number of the dataset plus one; 0 when there is none."""
+def manifest_folder(root: str) -> str:
+    return f"{root.rstrip('/')}/manifest"
 
-    def largest():
-        shards = read_shards(spark, root, [dataset])
-        return shards.agg(F.max("shard")).head()[0]
 
-    found = _if_there(largest, None)
-    return 0 if found is None else found + 1
+def _is_missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
 
 
 def read_shards(spark: SparkSession, root: str, datasets: Sequence[str] | None = None) -> DataFrame:
-    """All samples; a missing scale gets the default one. Datasets prune partitions."""
-    shards = spark.read.schema(SHARD_SCHEMA).parquet(root)
+    """All stored samples; a missing scale gets the default one. Datasets prune partitions."""
+    shards = spark.read.schema(SHARD_SCHEMA).parquet(shard_folder(root))
     if datasets is not None:
         shards = shards.filter(F.col("dataset").isin(list(datasets)))
     return shards.withColumn("latent_scale", default_scale(F.col("latent_scale")))
 
 
+def stored_samples(spark: SparkSession, root: str) -> DataFrame:
+    """:func:`read_shards`, or no rows when nothing is stored yet."""
+    try:
+        return read_shards(spark, root)
+    except AnalysisException as error:
+        if not _is_missing(error):
+            raise
+        return spark.createDataFrame([], SHARD_SCHEMA)
+
+
+def next_shard_numbers(spark: SparkSession, root: str) -> DataFrame:
+    """``dataset, next``: largest stored shard number plus one."""
+    return stored_samples(spark, root).groupBy("dataset").agg((F.max("shard") + 1).cast("bigint").alias("next"))
+
+
 def default_scale(scale: Column) -> Column:
     return F.coalesce(scale, F.lit(LATENT_SCALE))
 
 
 def write_shards(
-    encoded: DataFrame,
-    root: str,
-    dataset: str,
-    order: Sequence[str] = ("path",),
-    size: int = SHARD_SIZE,
-    start: int | None = None,
+    encoded: DataFrame, root: str, order: Sequence[str] = ("path",), size: int = SHARD_SIZE
 ) -> None:
-    """Append encoded samples as shards, numbered on from the existing ones.
+    """Append encoded samples as shards, numbered on from the existing ones of their ``dataset``.
 
     ``encoded`` is read twice (keys to number, payload to write), so pass a stored table, not an
-    encoder's output. The payload is shuffled once to be numbered and once to its shard; a shard holds
-    at most ``size`` samples, so no task gets more than that of one shard.
+    encoder's output. Keys are numbered first and joined to the payload by ``path``; a shard holds at
+    most ``size`` samples, so no task gets more than that of one shard.
     """
     spark = encoded.sparkSession
-    first = next_shard_number(spark, root, dataset) if start is None else start
-    numbered = assign_shards(encoded, "path", order, size, first)
+    keys = encoded.select(*dict.fromkeys(["path", "dataset", *order]))
+    numbered = ordered.with_ordinal(keys, order, ["dataset"], "_at").select("path", "dataset", "_at")
+    starts = broadcast_if_small(next_shard_numbers(spark, root))
+    first, at = F.coalesce("next", F.lit(0).cast("bigint")), F.col("_at")
+    placed = numbered.join(starts, "dataset", "left").select(
+        "path", shard_of(at, size, first).cast("int").alias("shard"), index_of(at, size).alias("index")
+    )
     columns = [c.split()[0] for c in SHARD_SCHEMA.split(", ")]
     (
-        numbered.withColumn("dataset", F.lit(dataset))
-        .withColumn("shard", F.col("shard").cast("int"))
+        encoded.join(placed, "path")
         .select(*columns)
         .repartition("dataset", "shard")
-        .sortWithinPartitions("shard", "index")
+        .sortWithinPartitions("dataset", "shard", "index")
         .write.mode("append")
         .partitionBy("dataset", "shard")
-        .parquet(root)
+        .parquet(shard_folder(root))
     )
 
 
 def manifest_of(shards: DataFrame) -> DataFrame:
     """Manifest rows ``shard, index, path, caption`` from stored shards, so the two cannot disagree."""
-    return shards.select(paths.shard_name(F.col("shard")).alias("shard"), "index", "path", "caption")
+    kept = [c for c in ("dataset",) if c in shards.columns]
+    return shards.select(*kept, paths.shard_name(F.col("shard")).alias("shard"), "index", "path", "caption")
 
 
 def manifest_lines(rows: DataFrame) -> DataFrame:
-    return rows.select(
-        manifest_line(F.col("shard"), F.col("index"), F.col("path"), F.col("caption")).alias("value")
-    )
+    kept = [c for c in ("dataset",) if c in rows.columns]
+    line = manifest_line(F.col("shard"), F.col("index"), F.col("path"), F.col("caption"))
+    return rows.select(*kept, line.alias("value"))
+
+
+def append_manifest(shards: DataFrame, root: str) -> None:
+    """Append the manifest records of the given stored shards as JSON lines, a folder per dataset."""
+    lines = manifest_lines(manifest_of(shards))
+    lines.write.mode("append").partitionBy("dataset").text(manifest_folder(root))
+
+
+def stored_manifest(spark: SparkSession, root: str) -> DataFrame:
+    """``dataset`` and the manifest's columns; no rows when nothing is stored yet."""
+    try:
+        lines = spark.read.schema("value string, dataset string").text(manifest_folder(root))
+    except AnalysisException as error:
+        if not _is_missing(error):
+            raise
+        return spark.createDataFrame([], f"dataset string, {MANIFEST_SCHEMA}")
+    return lines.select("dataset", parsed_manifest_line(F.col("value")).alias("rec")).select(
+        "dataset", "rec.*"
+    ).filter(F.col("path").isNotNull())
 
 
-def append_manifest(shards: DataFrame, path: str) -> None:
-    """Append the manifest records of the given stored shards as JSON lines."""
-    manifest_lines(manifest_of(shards)).write.mode("append").text(path)
+def unlisted_samples(spark: SparkSession, root: str) -> DataFrame:
+    """Stored samples that no manifest record names (a run stopped between the two writes)."""
+    listed = stored_manifest(spark, root).select("dataset", "path")
+    return stored_samples(spark, root).join(listed, ["dataset", "path"], "left_anti")
 
 
 def positional_lookup(manifest: DataFrame, shards: DataFrame, on: Sequence[str] = ("shard", "index")) -> DataFrame:
