@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusmill.functions.randomness import let
+
 # What counts as white space at the ends of a caption, the two log-line forms.
 WHITE_SPACE = (
     r"[\t-\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -15,6 +17,7 @@ LOG_LINE = (
     r"(?:shard\s+(\S+)|([0-9.]+)s(?:\s|$))"
 )
 
+_CUT = "\x01"  # no log line has it
 MANIFEST_SCHEMA = "shard string, index bigint, path string, caption string"
 
 
@@ -38,19 +41,23 @@ def trainer_line(step: Column, loss: Column, seconds: Column) -> Column:
 
 
 def parsed_log_line(line: Column) -> Column:
-    """Step, loss, shard and form of a log line; every field is NULL when the line is something else.
+    """Step, loss, shard and form of a log line; NULL when the line is something else.
 
-    The loss is NULL when it is no number, so that such lines can be counted as rejects.
+    The loss is NULL when it is no number, so that such lines can be counted as rejects. The pattern
+    runs once per line: its groups are written out with a separator and split again.
     """
-    shard = F.regexp_extract(line, LOG_LINE, 3)
-    matched = line.rlike(LOG_LINE)
-    fields = F.struct(
-        F.regexp_extract(line, LOG_LINE, 1).try_cast("bigint").alias("step"),
-        F.regexp_extract(line, LOG_LINE, 2).try_cast("double").alias("loss"),
-        F.nullif(shard, F.lit("")).alias("shard"),
-        F.when(shard != "", F.lit("shard")).otherwise(F.lit("seconds")).alias("form"),
-    )
-    return F.when(matched, fields)
+    groups = F.split(F.regexp_replace(line, rf"(?s)\A.*?{LOG_LINE}.*\z", f"$1{_CUT}$2{_CUT}$3"), _CUT)
+
+    def record(g: Column) -> Column:
+        fields = F.struct(
+            F.get(g, F.lit(0)).try_cast("bigint").alias("step"),
+            F.get(g, F.lit(1)).try_cast("double").alias("loss"),
+            F.nullif(F.get(g, F.lit(2)), F.lit("")).alias("shard"),
+            F.when(F.get(g, F.lit(2)) != "", F.lit("shard")).otherwise(F.lit("seconds")).alias("form"),
+        )
+        return F.when(F.size(g) == 3, fields)
+
+    return let(groups, record)
 
 
 def manifest_line(shard: Column, index: Column, path: Column, caption: Column) -> Column:

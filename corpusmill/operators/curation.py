@@ -61,20 +61,22 @@ def judge(
 
 
 def judged_groups(df: DataFrame, rules: Sequence[Rule], key: str, content: Column) -> DataFrame:
-    """The same verdicts summed up per reason and content: ``reason, _sha1, n, first``.
+    """The same verdicts summed up per reason and content: ``reason, _sha1, n, first, kept``.
 
     Enough for the counts and for the list of kept rows, with one scan and one aggregate, so nothing
-    is joined. A group with a NULL reason is one kept row (``first``) and ``n - 1`` duplicates.
+    is joined. A group with a NULL reason is one kept row (``kept``) and ``n - 1`` duplicates.
     """
+    passed = F.when(F.col("reason").isNull(), F.col(key))
     return (
         _verdicts(df, rules, key, content, ())
         .groupBy("reason", "_sha1")
-        .agg(F.count("*").alias("n"), F.min(key).alias("first"))
+        .agg(F.count("*").alias("n"), F.min(key).alias("first"), F.min(passed).alias("kept"))
     )
 
 
 def kept_of_groups(groups: DataFrame, key: str) -> DataFrame:
-    return groups.filter(F.col("reason").isNull()).select(F.col("first").alias(key))
+    # A filter on ``reason`` would move below the aggregate and run the rules twice.
+    return groups.filter(F.col("kept").isNotNull()).select(F.col("kept").alias(key))
 
 
 def group_reason_counts(groups: DataFrame, include_ok: bool = False) -> DataFrame:

@@ -39,86 +39,101 @@ def shard_coverage(
     )
 
 
-def exact_quantiles(
-    df: DataFrame, column: str, probs: Sequence[float] = QUARTILES, partitions: int | None = None
-) -> DataFrame:
-    """Quantiles with linear interpolation: ``prob, value``.
+def _tall(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column, _v``: the values of several columns below each other, without NULL and NaN."""
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in columns]
+    rows = df.select(F.explode(F.array(*cells)).alias("_c")).select("_c.*")
+    return rows.filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+
+
+def _counted(df: DataFrame, columns: Sequence[str], partitions: int | None) -> DataFrame:
+    """``column, _v, _n, _upto``: distinct values with their count and the count up to them, stored.
 
-    ``percentile`` keeps every distinct value in the memory of one task. Here values are counted
-    first (so a value that most rows share is one row), the counts are summed up in value order, and
-    only the rows around each rank are read. NULL and NaN are left out.
+    Counting first makes a value that most rows share one row; the running sum is taken in value order
+    over range partitions.
     """
-    x = F.col(column).cast("double")
-    values = df.select(x.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    counted = values.groupBy("_v").agg(F.count("*").alias("_n"))
-    running = ordered.running_sum(counted, "_n", ["_v"], name="_upto", partitions=partitions)
+    counts = _tall(df, columns).groupBy("column", "_v").agg(F.count("*").alias("_n"))
+    return ordered.running_sum(counts, "_n", ["_v"], ["column"], "_upto", partitions)
+
+
+def _quantiles(counted: DataFrame, probs: Sequence[float]) -> DataFrame:
     rank = F.col("prob") * (F.col("_rows") - 1)
     ranks = (
-        counted.agg(F.sum("_n").alias("_rows"))
+        counted.groupBy("column")
+        .agg(F.max("_upto").alias("_rows"))
         .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
         .select(
+            "column",
             "prob",
             F.floor(rank).cast("bigint").alias("_low"),
             F.ceil(rank).cast("bigint").alias("_high"),
             (rank - F.floor(rank)).alias("_part"),
         )
     )
-    spans = running.select("_v", (F.col("_upto") - F.col("_n")).alias("_from"), "_upto")
+    spans = counted.select("column", "_v", (F.col("_upto") - F.col("_n")).alias("_from"), "_upto")
 
     def holds(r: str) -> Column:
         return (F.col("_from") <= F.col(r)) & (F.col(r) < F.col("_upto"))
 
-    # len(probs) rows are broadcast; each value row meets at most that many.
-    near = spans.join(F.broadcast(ranks), holds("_low") | holds("_high"))
+    # One row per column and quantile is broadcast.
+    near = spans.join(F.broadcast(ranks), "column").filter(holds("_low") | holds("_high"))
     low = F.max(F.when(holds("_low"), F.col("_v")))
     high = F.max(F.when(holds("_high"), F.col("_v")))
     return (
-        near.groupBy("prob", "_part")
+        near.groupBy("column", "prob", "_part")
         .agg(low.alias("_a"), high.alias("_b"))
-        .select("prob", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_part")).alias("value"))
+        .select("column", "prob", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_part")).alias("value"))
     )
 
 
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float] = QUARTILES, partitions: int | None = None
+) -> DataFrame:
+    """Quantiles with linear interpolation: ``column, prob, value``.
+
+    ``percentile`` keeps every distinct value in the memory of one task; here only the rows around
+    each rank leave their partition. NULL and NaN are left out.
+    """
+    return _quantiles(_counted(df, columns, partitions), probs)
+
+
 def describe_exact(
     df: DataFrame, columns: Sequence[str], approximate: bool = False, partitions: int | None = None
 ) -> DataFrame:
     """Count, mean, std (n-1), min, quartiles and max per column.
 
-    ``approximate`` takes the quartiles from ``approx_percentile`` in the same pass.
+    All comes from the counted values, so the input is read once for all columns. ``approximate``
+    takes the quartiles from ``percentile_approx`` instead, without any order.
     """
-    out = None
-    for name in columns:
-        x = F.col(name).cast("double")
-        value = F.when(~F.isnan(x), x)
-        aggs = [
-            F.count(value).alias("count"),
-            F.avg(value).alias("mean"),
-            F.stddev_samp(value).alias("std"),
-            F.min(value).alias("min"),
-            F.max(value).alias("max"),
-        ]
-        if approximate:
-            aggs.append(F.percentile_approx(value, list(QUARTILES), 10_000).alias("_q"))
-            row = df.agg(*aggs).select(
-                "*", *[F.get("_q", F.lit(i)).alias(q) for i, q in enumerate(("q25", "q50", "q75"))]
-            ).drop("_q")
-        else:
-            quartiles = (
-                exact_quantiles(df, name, partitions=partitions)
-                .groupBy()
-                .agg(*[
-                    F.max(F.when(F.col("prob") == p, F.col("value"))).alias(q)
-                    for p, q in zip(QUARTILES, ("q25", "q50", "q75"))
-                ])
-                .withColumn("_one", F.lit(1))
-            )
-            # One row on each side.
-            row = df.agg(*aggs).withColumn("_one", F.lit(1)).join(quartiles, "_one").drop("_one")
-        row = row.select(
-            F.lit(name).alias("column"), "count", "mean", "std", "min", "q25", "q50", "q75", "max"
+    names = ["q25", "q50", "q75"]
+    if approximate:
+        value = F.col("_v")
+        quartiles = F.percentile_approx(value, list(QUARTILES), 10_000)
+        stats = _tall(df, columns).groupBy("column").agg(
+            F.count(value).alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
+            F.min(value).alias("min"), F.max(value).alias("max"), quartiles.alias("_q"),
+        )
+        found = stats.select("*", *[F.get("_q", F.lit(i)).alias(q) for i, q in enumerate(names)])
+    else:
+        counted = _counted(df, columns, partitions)
+        v, n = F.col("_v"), F.col("_n")
+        means = counted.groupBy("column").agg(
+            F.sum(n).alias("count"), (F.sum(v * n) / F.sum(n)).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max")
+        )
+        # Second pass over the counts: squares around the mean do not cancel.
+        off = v - F.col("mean")
+        spread = (
+            counted.join(F.broadcast(means.select("column", "mean", "count")), "column")
+            .groupBy("column")
+            .agg(F.sqrt(F.sum(n * off * off) / F.nullif(F.max("count") - 1, F.lit(0))).alias("std"))
+        )
+        quartiles = (
+            _quantiles(counted, QUARTILES)
+            .groupBy("column")
+            .agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(q) for p, q in zip(QUARTILES, names)])
         )
-        out = row if out is None else out.unionByName(row)
-    return out
+        found = means.join(F.broadcast(spread), "column").join(F.broadcast(quartiles), "column")
+    return found.select("column", "count", "mean", "std", "min", *names, "max")
 
 
 def interval_seconds(interval: Column) -> Column:

@@ -72,21 +72,24 @@ def manifest_check(manifest: DataFrame, shards: DataFrame, on: Sequence[str] = (
     0..n-1.
     """
     group = [c for c in on if c != "index"]
-    keys = shards.select(*on)
-    listed = manifest.select(*on).distinct()
-    gaps = (
-        keys.groupBy(*group)
-        .agg(F.count("*").alias("n"), F.min("index").alias("low"), F.max("index").alias("high"), F.countDistinct("index").alias("d"))
-        .filter((F.col("low") != 0) | (F.col("high") != F.col("n") - 1) | (F.col("d") != F.col("n")))
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    both = shards.select(*on, one.alias("s"), none.alias("m")).unionByName(
+        manifest.select(*on, none.alias("s"), one.alias("m"))
     )
-    counts = {
-        "missing": keys.join(listed, list(on), "left_anti"),
-        "extra": listed.join(keys.distinct(), list(on), "left_anti"),
-        "duplicate_paths": manifest.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1"),
-        "broken_shards": gaps,
-    }
-    parts = [df.agg(F.count("*").alias("n")).select(F.lit(k).alias("check"), "n") for k, df in counts.items()]
-    tall = parts[0]
-    for part in parts[1:]:
-        tall = tall.unionByName(part)
-    return tall.groupBy().agg(*[F.sum(F.when(F.col("check") == k, F.col("n"))).alias(k) for k in counts])
+    positions = both.groupBy(*on).agg(F.sum("s").alias("s"), F.sum("m").alias("m"))
+    stored = F.col("s") > 0
+    at = F.when(stored, F.col("index"))
+    per_shard = positions.groupBy(*group).agg(
+        F.sum(F.when(F.col("m") == 0, F.col("s")).otherwise(0)).alias("missing"),
+        F.count_if(~stored).alias("extra"),
+        (
+            (F.count_if(stored) > 0)
+            & ((F.min(at) != 0) | (F.max(at) != F.count_if(stored) - 1) | (F.max("s") > 1))
+        ).alias("broken"),
+    )
+    repeated = manifest.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1").agg(F.count("*"))
+    return per_shard.agg(
+        F.coalesce(F.sum("missing"), none).alias("missing"),
+        F.coalesce(F.sum("extra"), none).alias("extra"),
+        F.count_if("broken").alias("broken_shards"),
+    ).select("missing", "extra", repeated.scalar().alias("duplicate_paths"), "broken_shards")

@@ -108,11 +108,14 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _log_rows(lines: DataFrame) -> DataFrame:
+    """One record per text line, NULL for a line that is something else.
+
+    Records are made before the explode: a filter on them cannot move below it, so each line is parsed
+    once.
+    """
     rest = [c for c in lines.columns if c != "value"]
-    clean = tx.valid_text(F.col("value"))
-    return lines.select(*rest, F.explode(F.split(clean, _LINE_BREAKS)).alias("value")).select(
-        *rest, "value", tx.parsed_log_line(F.col("value")).alias("rec")
-    )
+    parts = F.split(F.translate(tx.valid_text(F.col("value")), "\x01", ""), _LINE_BREAKS)
+    return lines.select(*rest, F.explode(F.transform(parts, tx.parsed_log_line)).alias("rec"))
 
 
 def parse_train_log(lines: DataFrame) -> DataFrame:
@@ -120,25 +123,16 @@ def parse_train_log(lines: DataFrame) -> DataFrame:
     rest = [c for c in lines.columns if c != "value"]
     return (
         _log_rows(lines)
+        .filter(F.col("rec.step").isNotNull() & F.col("rec.loss").isNotNull())
         .select(*rest, "rec.*")
-        .filter(F.col("step").isNotNull() & F.col("loss").isNotNull())
     )
 
 
 def train_log_counts(lines: DataFrame) -> DataFrame:
     """How many lines were used, looked like a log line but had no readable number, or were noise."""
     usable = F.col("rec.step").isNotNull() & F.col("rec.loss").isNotNull()
-    return (
-        _log_rows(lines)
-        .select(
-            F.when(F.col("rec").isNull(), "unmatched")
-            .when(usable, F.col("rec.form"))
-            .otherwise("rejected")
-            .alias("kind")
-        )
-        .groupBy("kind")
-        .agg(F.count("*").alias("n"))
-    )
+    kind = F.when(F.col("rec").isNull(), "unmatched").when(usable, F.col("rec.form")).otherwise("rejected")
+    return _log_rows(lines).select(kind.alias("kind")).groupBy("kind").agg(F.count("*").alias("n"))
 
 
 def sorted_by_step(log: DataFrame) -> DataFrame:
