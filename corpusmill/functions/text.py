@@ -17,7 +17,6 @@ LOG_LINE = (
     r"(?:shard\s+(\S+)|([0-9.]+)s(?:\s|$))"
 )
 
-_CUT = "\x01"  # no log line has it
 MANIFEST_SCHEMA = "shard string, index bigint, path string, caption string"
 
 
@@ -44,9 +43,10 @@ def parsed_log_line(line: Column) -> Column:
     """Step, loss, shard and form of a log line; NULL when the line is something else.
 
     The loss is NULL when it is no number, so that such lines can be counted as rejects. The pattern
-    runs once per line: its groups are written out with a separator and split again.
+    runs once per line: its groups, which hold no white space, are written out one per line and split
+    again. ``line`` must be a single line.
     """
-    groups = F.split(F.regexp_replace(line, rf"(?s)\A.*?{LOG_LINE}.*\z", f"$1{_CUT}$2{_CUT}$3"), _CUT)
+    groups = F.split(F.regexp_replace(line, rf"\A.*?{LOG_LINE}.*\z", "$1\n$2\n$3"), "\n")
 
     def record(g: Column) -> Column:
         fields = F.struct(

@@ -8,16 +8,17 @@ instead, so that a group of any size spreads over as many partitions as it needs
 2. the result is checkpointed, so that segment numbers stay fixed for all later reads, also when an
    executor is lost;
 3. the scan runs inside ``(segment, group)``;
-4. only the first group of a segment can continue from the segment before, so the values carried
-   over are at most one row per segment: that table is bounded by the number of partitions and is
-   the only thing broadcast.
+4. only the first group of a segment can continue from the segment before, so what is carried over is
+   at most one value per segment. These few rows (bounded by the number of partitions, like the
+   boundaries Spark itself samples for a sort) are chained on the driver and broadcast.
 
 ``order`` must be unique within a group (add a tie-break column); equal keys cannot be split.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -67,37 +68,44 @@ def _group(by: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("all"))
 
 
-def _edges(segments: DataFrame, by: Sequence[str], **values: Column) -> DataFrame:
-    """One row per segment: its first and last group and values taken at the first or last row."""
-    return segments.groupBy(SEG).agg(
-        F.min_by(_group(by), POS).alias("_first"),
-        F.max_by(_group(by), POS).alias("_last"),
-        *[v.alias(k) for k, v in values.items()],
-    )
+def _local(by: Sequence[str]):
+    return Window.partitionBy(SEG, *by).orderBy(POS)
+
+
+Step = Callable[[Any, Any], Any]
+
 
+def _carry(segments: DataFrame, by: Sequence[str], tail: Column, step: Step, kind: str) -> DataFrame:
+    """Add ``_carry``: for rows of a segment's first group, what that group brings from before.
 
-def _attach(segments: DataFrame, carried: DataFrame, by: Sequence[str], carry: str) -> DataFrame:
-    """Add the carried value to the rows of each segment's first group (NULL elsewhere)."""
-    slim = carried.select(SEG, F.col("_first").alias("_cont"), F.col(carry).alias("_in"))
+    ``tail`` is taken at the last row of each segment. ``step(carried, tail)`` is the state after a
+    segment that lies wholly within one group and continues it; otherwise the state is ``step(None,
+    tail)``.
+    """
+    edges = segments.groupBy(SEG).agg(
+        F.to_json(F.min_by(_group(by), POS)).alias("first"),
+        F.to_json(F.max_by(_group(by), POS)).alias("last"),
+        F.max_by(F.struct(tail.alias("tail")), POS).alias("end"),
+    )
+    carried, last, state = [], None, None
+    for row in sorted(edges.collect(), key=lambda r: r[SEG]):
+        continues = last == row["first"]
+        if continues:
+            carried.append((row[SEG], row["first"], state))
+        inner = continues and row["first"] == row["last"]
+        state, last = step(state if inner else None, row["end"]["tail"]), row["last"]
+    if not carried:
+        return segments.withColumn("_carry", F.lit(None).cast(kind))
+    few = segments.sparkSession.createDataFrame(carried, f"{SEG} int, _cont string, _in {kind}")
     return (
-        segments.join(F.broadcast(slim), SEG, "left")
-        .withColumn(carry, F.when(_group(by).eqNullSafe(F.col("_cont")), F.col("_in")))
+        segments.join(F.broadcast(few), SEG, "left")
+        .withColumn("_carry", F.when(F.to_json(_group(by)).eqNullSafe(F.col("_cont")), F.col("_in")))
         .drop("_cont", "_in")
     )
 
 
-def _running_before(edges: DataFrame, total: str, carry: str) -> DataFrame:
-    """Sum of ``total`` over the earlier segments that end in the group this segment starts with."""
-    # At most one row per segment, so the un-partitioned window below is bounded.
-    in_order = Window.partitionBy(F.lit(0)).orderBy(SEG)
-    per_group = Window.partitionBy("_last").orderBy(SEG)
-    return (
-        edges.withColumn("_acc", F.sum(total).over(per_group))
-        .withColumn("_prev", F.lag(F.struct("_last", "_acc")).over(in_order))
-        .withColumn(
-            carry, F.when(F.col("_prev._last").eqNullSafe(F.col("_first")), F.col("_prev._acc"))
-        )
-    )
+def _add(carried: Any, tail: Any) -> Any:
+    return tail if carried is None else carried + tail
 
 
 def with_ordinal(
@@ -113,18 +121,10 @@ def with_ordinal(
     :func:`number_rows`.
     """
     segments = range_segments(df, order, by, partitions)
-    if by:
-        local = Window.partitionBy(SEG, *by).orderBy(POS)
-        segments = segments.withColumn("_n", F.row_number().over(local).cast("bigint"))
-    else:
-        segments = segments.withColumn("_n", F.col(POS) + 1)
-    edges = _edges(segments, by, _total=F.max_by("_n", POS))
-    carried = _running_before(edges, "_total", "_carry")
-    return (
-        _attach(segments, carried, by, "_carry")
-        .withColumn(name, F.col("_n") - 1 + F.coalesce("_carry", F.lit(0)))
-        .drop(SEG, POS, "_n", "_carry")
-    )
+    n = F.row_number().over(_local(by)).cast("bigint") if by else F.col(POS) + 1
+    numbered = _carry(segments.withColumn("_n", n), by, F.col("_n"), _add, "bigint")
+    ordinal = F.col("_n") - 1 + F.coalesce("_carry", F.lit(0))
+    return numbered.withColumn(name, ordinal).drop(SEG, POS, "_n", "_carry")
 
 
 def number_rows(
@@ -151,15 +151,12 @@ def running_sum(
 ) -> DataFrame:
     """Inclusive running sum of ``value`` in the given order."""
     segments = range_segments(df, order, by, partitions)
-    local = Window.partitionBy(SEG, *by).orderBy(POS)
-    segments = segments.withColumn("_sum", F.sum(value).over(local))
-    edges = _edges(segments, by, _total=F.max_by("_sum", POS))
-    carried = _running_before(edges, "_total", "_carry")
-    return (
-        _attach(segments, carried, by, "_carry")
-        .withColumn(name, F.when(F.col("_carry").isNull(), F.col("_sum")).otherwise(F.col("_sum") + F.col("_carry")))
-        .drop(SEG, POS, "_sum", "_carry")
-    )
+    so_far = F.sum(value).over(_local(by).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    summed = segments.withColumn("_sum", so_far)
+    kind = summed.schema["_sum"].dataType.simpleString()
+    carried = _carry(summed, by, F.col("_sum"), _add, kind)
+    total = F.when(F.col("_carry").isNull(), F.col("_sum")).otherwise(F.col("_sum") + F.col("_carry"))
+    return carried.withColumn(name, total).drop(SEG, POS, "_sum", "_carry")
 
 
 def previous_value(
@@ -172,21 +169,13 @@ def previous_value(
 ) -> DataFrame:
     """Value of the row before (``lag``) in the given order; NULL on the first row of a group."""
     segments = range_segments(df, order, by, partitions)
-    local = Window.partitionBy(SEG, *by).orderBy(POS)
-    segments = segments.withColumn("_lag", F.lag(value).over(local)).withColumn(
-        "_head", F.row_number().over(local) == 1
-    )
-    edges = _edges(segments, by, _tail=F.max_by(F.struct(F.col(value).alias("v")), POS))
-    in_order = Window.partitionBy(F.lit(0)).orderBy(SEG)
-    carried = edges.withColumn("_prev", F.lag(F.struct("_last", "_tail")).over(in_order)).withColumn(
-        "_carry",
-        F.when(F.col("_prev._last").eqNullSafe(F.col("_first")), F.col("_prev._tail.v")),
-    )
-    return (
-        _attach(segments, carried, by, "_carry")
-        .withColumn(name, F.when(F.col("_head"), F.col("_carry")).otherwise(F.col("_lag")))
-        .drop(SEG, POS, "_lag", "_head", "_carry")
+    marked = segments.withColumn("_lag", F.lag(value).over(_local(by))).withColumn(
+        "_head", F.row_number().over(_local(by)) == 1
     )
+    kind = df.schema[value].dataType.simpleString()
+    carried = _carry(marked, by, F.col(value), lambda _, tail: tail, kind)
+    before = F.when(F.col("_head"), F.col("_carry")).otherwise(F.col("_lag"))
+    return carried.withColumn(name, before).drop(SEG, POS, "_lag", "_head", "_carry")
 
 
 # --- exponential moving average -------------------------------------------------------------------
@@ -256,24 +245,6 @@ def _row_key(keys: pd.DataFrame, row: int) -> tuple:
     return tuple(None if pd.isna(v) else v for v in keys.iloc[row]) if len(keys.columns) else ()
 
 
-def _carry_ema(batches: Iterator[pa.RecordBatch], alpha: float) -> Iterator[pa.RecordBatch]:
-    """Chain the segments' end values; the input is one row per segment."""
-    rows = sorted((row for batch in batches for row in batch.to_pylist()), key=lambda r: r[SEG])
-    carries, last_group, state = [], None, None
-    for row in rows:
-        continues = last_group == row["first"]
-        carries.append(state if continues else None)
-        if continues and row["first"] == row["last"]:
-            state = row["end"] + alpha ** row["n"] * (state - row["start"])
-        else:
-            state = row["end"]
-        last_group = row["last"]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([r[SEG] for r in rows], pa.int32()), pa.array(carries, pa.float64())],
-        names=[SEG, "_carry"],
-    )
-
-
 def ema(
     df: DataFrame,
     value: str,
@@ -306,27 +277,13 @@ def ema(
     local = sorted_rows.mapInArrow(
         lambda batches: _local_ema(batches, value, by, alpha), schema
     ).checkpoint()
-    edges = _edges(local, by, _tail=F.max_by(F.struct("_k", "_start", "_ema"), POS))
-    flat = edges.select(
-        SEG,
-        F.to_json("_first").alias("first"),
-        F.to_json("_last").alias("last"),
-        (F.col("_tail._k") + 1).alias("n"),
-        F.col("_tail._start").alias("start"),
-        F.col("_tail._ema").alias("end"),
-    )
-    # One row per segment, so a single task folds a bounded table.
-    chained = flat.coalesce(1).mapInArrow(
-        lambda batches: _carry_ema(batches, alpha), f"{SEG} int, _carry double"
-    )
-    carried = edges.select(SEG, "_first").join(chained, SEG)
-    return (
-        _attach(local, carried, by, "_carry")
-        .withColumn(
-            name,
-            F.when(F.col("_carry").isNull(), F.col("_ema")).otherwise(
-                F.col("_ema") + F.pow(F.lit(alpha), F.col("_k") + 1) * (F.col("_carry") - F.col("_start"))
-            ),
-        )
-        .drop(SEG, POS, "_k", "_start", "_ema", "_carry")
-    )
+
+    def after(carried: float | None, tail: Any) -> float:
+        if carried is None:
+            return tail["_ema"]
+        return tail["_ema"] + alpha ** (tail["_k"] + 1) * (carried - tail["_start"])
+
+    joined = _carry(local, by, F.struct("_k", "_start", "_ema"), after, "double")
+    corrected = F.col("_ema") + F.pow(F.lit(alpha), F.col("_k") + 1) * (F.col("_carry") - F.col("_start"))
+    smoothed = F.when(F.col("_carry").isNull(), F.col("_ema")).otherwise(corrected)
+    return joined.withColumn(name, smoothed).drop(SEG, POS, "_k", "_start", "_ema", "_carry")

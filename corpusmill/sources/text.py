@@ -12,7 +12,7 @@ from corpusmill.operators import ordered
 LOSS_SCHEMA = "step bigint, loss double"
 _LINE_ORDER = ["_file", "_block", "_row"]
 # Further characters that end a line when text is split into lines.
-_LINE_BREAKS = r"[\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+_LINE_BREAKS = r"[\n-\r\x1C-\x1E\x{85}\x{2028}\x{2029}]"
 
 
 def read_lines(spark: SparkSession, path: str, ordinal: bool = False) -> DataFrame:
@@ -114,7 +114,8 @@ def _log_rows(lines: DataFrame) -> DataFrame:
     once.
     """
     rest = [c for c in lines.columns if c != "value"]
-    parts = F.split(F.translate(tx.valid_text(F.col("value")), "\x01", ""), _LINE_BREAKS)
+    line = tx.valid_text(F.col("value"))
+    parts = F.when(line.rlike(_LINE_BREAKS), F.split(line, _LINE_BREAKS)).otherwise(F.array(line))
     return lines.select(*rest, F.explode(F.transform(parts, tx.parsed_log_line)).alias("rec"))
 
 
