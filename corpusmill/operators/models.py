@@ -132,7 +132,11 @@ def encode_batches(
                 yield part[carried].assign(latent=latents, shape=shapes, reason=reasons)
 
     schema = T.StructType(rows.select(*carried).schema.fields)
-    schema = schema.add("latent", "array<float>").add("shape", "array<int>").add("reason", "string")
+    schema = (
+        schema.add("latent", T.ArrayType(T.FloatType()))
+        .add("shape", T.ArrayType(T.IntegerType()))
+        .add("reason", T.StringType())
+    )
     return (
         flat.mapInPandas(run, schema)
         .withColumn("image_size", F.lit(image_size))

@@ -5,8 +5,13 @@ import sys
 import tempfile
 
 import pytest
+from pyspark import cloudpickle
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
+
+import fixtures  # noqa: E402
+
+cloudpickle.register_pickle_by_value(fixtures)
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
