@@ -193,7 +193,7 @@ def _runs(keys: pd.DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     return codes, np.flatnonzero(change)[codes]
 
 
-def _fold(values: np.ndarray, codes: np.ndarray, starts: np.ndarray, alpha: float) -> np.ndarray:
+def fold_runs(values: np.ndarray, codes: np.ndarray, starts: np.ndarray, alpha: float) -> np.ndarray:
     """The average of each run on its own, starting at the run's first value."""
     series = pd.Series(values)
     if alpha == 1.0:
@@ -216,7 +216,7 @@ def _local_ema(
         values = batch.column(value).to_pandas().to_numpy(dtype=float)
         keys = pa.Table.from_batches([batch]).select(list(by)).to_pandas()
         codes, starts = _runs(keys, len(values))
-        out = _fold(values, codes, starts, alpha)
+        out = fold_runs(values, codes, starts, alpha)
         k = np.arange(len(values)) - starts
         start = values[starts]
         group = _row_key(keys, 0)

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from corpusmill.operators.ordered import fold_runs
 from corpusmill.operators.sampling import every_n
 
 OUTPUT = "run string, step bigint, loss double, ema double"
@@ -21,19 +23,20 @@ def monitor_loss(stream: DataFrame, every: int = 10) -> DataFrame:
 def smoothed_loss(stream: DataFrame, alpha: float = 0.98, every: int = 1) -> DataFrame:
     """Smoothed loss per run in order of arrival; the state is one number per run.
 
-    ``stream`` has ``run, step, loss``. Rows of a batch are taken in step order.
+    ``stream`` has ``run, step, loss``. Each chunk of rows is taken in step order; the order of chunks is
+    that of their arrival. For the exact order over a whole log use the batch operator ``ema``.
     """
 
     def fold(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
+        carried = [state.get[0]] if state.exists else []
         for pdf in pdfs:
             pdf = pdf.sort_values("step")
-            values = pdf["loss"] if last is None else pd.concat([pd.Series([last]), pdf["loss"]])
-            smooth = values.ewm(alpha=1 - alpha, adjust=False).mean()
-            smooth = smooth if last is None else smooth.iloc[1:]
-            last = float(smooth.iloc[-1])
-            yield pd.DataFrame({"run": key[0], "step": pdf["step"], "loss": pdf["loss"], "ema": smooth.to_numpy()})
-        state.update((last,))
+            values = np.concatenate([carried, pdf["loss"].to_numpy(dtype=float)])
+            one_run = np.zeros(len(values), dtype=int)
+            smooth = fold_runs(values, one_run, one_run, alpha)[len(carried) :]
+            carried = [float(smooth[-1])]
+            yield pd.DataFrame({"run": key[0], "step": pdf["step"], "loss": pdf["loss"], "ema": smooth})
+        state.update((carried[0],))
 
     smoothed = stream.groupBy("run").applyInPandasWithState(
         fold, OUTPUT, "last double", "append", GroupStateTimeout.NoTimeout
