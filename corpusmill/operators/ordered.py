@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusmill.operators.sizing import broadcast_if_small
 from corpusmill.session import shared_folder
 
 SEG = "_seg"
@@ -135,10 +136,14 @@ def number_rows(
     name: str = "ordinal",
     partitions: int | None = None,
 ) -> DataFrame:
-    """:func:`with_ordinal` for wide rows: only the keys are sorted, the payload is joined last."""
+    """:func:`with_ordinal` for wide rows: only the keys are sorted, the payload is joined last.
+
+    ``key`` must be unique. While the numbers are few they are broadcast, and the payload is not
+    shuffled at all.
+    """
     narrow = df.select(*dict.fromkeys([key, *by, *order]))
     numbered = with_ordinal(narrow, order, by, name, partitions).select(key, name)
-    return df.join(numbered, key)
+    return df.join(broadcast_if_small(numbered), key)
 
 
 def running_sum(

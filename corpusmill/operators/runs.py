@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.operators import ordered
+from corpusmill.session import shared_folder
 
 # The number of shards listed, and the cache budget in GiB.
 TOP_SHARDS = 20
@@ -20,10 +21,14 @@ def shard_coverage(
 ) -> DataFrame:
     """The most frequent shards: ``shard, n, percent, hidden`` (how many shards are not listed).
 
-    Equal counts stand in first-seen order.
+    Equal counts stand in first-seen order. The counts are stored, so that the log is read once for
+    the list and its totals.
     """
-    counts = log.groupBy(F.col(shard).alias("shard")).agg(
-        F.count("*").alias("n"), F.min(order).alias("_first")
+    shared_folder(log.sparkSession)
+    counts = (
+        log.groupBy(F.col(shard).alias("shard"))
+        .agg(F.count("*").alias("n"), F.min(order).alias("_first"))
+        .checkpoint()
     )
     total = counts.agg(F.sum("n")).scalar()
     shards = counts.agg(F.count("*")).scalar()
@@ -60,7 +65,7 @@ def _quantiles(counted: DataFrame, probs: Sequence[float]) -> DataFrame:
     rank = F.col("prob") * (F.col("_rows") - 1)
     ranks = (
         counted.groupBy("column")
-        .agg(F.max("_upto").alias("_rows"))
+        .agg(F.sum("_n").alias("_rows"))
         .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
         .select(
             "column",

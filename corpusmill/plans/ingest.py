@@ -71,9 +71,8 @@ def ingest_archives(archives: DataFrame, settings: IngestSettings) -> DataFrame:
 
 def finished_archives(spark: SparkSession, settings: IngestSettings) -> DataFrame:
     """Ids of the archives that have a manifest."""
-    listed = store.stored_manifest(spark, settings.root).select("dataset").distinct()
     number = paths.number_in(F.col("dataset"), rf"^{settings.prefix}(\d+)$")
-    return listed.select(number.alias("id")).filter(F.col("id").isNotNull())
+    return store.listed_datasets(spark, settings.root).select(number.alias("id")).filter(F.col("id").isNotNull())
 
 
 def ingest_next(
@@ -84,13 +83,13 @@ def ingest_next(
     Returns ``archive_id, n, bytes`` of what is stored for them.
     """
     wanted = resume.next_archives(finished_archives(spark, settings), count, mode).select("id")
-    there = tar.list_archives(spark, archive_dir).join(F.broadcast(wanted), "id").checkpoint()
-    if there.isEmpty():
+    there = tar.list_archives(spark, archive_dir).join(F.broadcast(wanted), "id")
+    # At most ``count`` rows.
+    found = {row["id"]: row["archive"] for row in there.collect()}
+    if not found:
         return spark.createDataFrame([], "archive_id bigint, n bigint, bytes bigint")
-    ingest_archives(there.select("archive"), settings)
+    ingest_archives(spark.createDataFrame([(a,) for a in found.values()], "archive string"), settings)
     number = paths.number_in(F.col("dataset"), rf"^{settings.prefix}(\d+)$")
-    sizes = store.read_shards(spark, settings.root).select(
-        number.alias("archive_id"), (F.size("latent") * 4).cast("bigint").alias("bytes")
-    )
-    done = sizes.join(F.broadcast(there.select(F.col("id").alias("archive_id"))), "archive_id")
-    return curation.dataset_bytes(done, "archive_id", "bytes")
+    stored = store.read_shards(spark, settings.root, [f"{settings.prefix}{i:05d}" for i in found])
+    sizes = stored.select(number.alias("archive_id"), (F.size("latent") * 4).cast("bigint").alias("bytes"))
+    return curation.dataset_bytes(sizes, "archive_id", "bytes")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.operators import ordered, runs, weights
+from corpusmill.session import shared_folder
 from corpusmill.sources import files as src
 
 # Fixed value: weight of the past in the smoothed loss.
@@ -24,8 +25,13 @@ class LogReport:
 
 
 def log_report(log: DataFrame, alpha: float = EMA_ALPHA, topk: int = runs.TOP_SHARDS) -> LogReport:
-    """``log`` is ``step, loss, shard``. Equal steps keep the order of their remaining columns."""
-    smoothed = ordered.ema(log.select("step", "loss", "shard"), "loss", ["step", "loss", "shard"], alpha=alpha)
+    """``log`` is ``step, loss, shard``. Rows of equal step stay in the order they were read.
+
+    The parsed log is stored first: sorting reads its input twice, and the lines are parsed once.
+    """
+    shared_folder(log.sparkSession)
+    log = log.select("step", "loss", "shard", F.monotonically_increasing_id().alias("_read")).checkpoint()
+    smoothed = ordered.ema(log, "loss", ["step", "_read"], alpha=alpha).drop("_read")
     return LogReport(
         smoothed,
         runs.describe_exact(smoothed, ["step", "loss", "ema"]),

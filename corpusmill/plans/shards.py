@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.operators import models, resume
@@ -38,11 +38,10 @@ def build_shards(
     """
     spark = pairs.sparkSession
     rows = resume.max_items(pairs, max_items, list(order))
+    datasets = store.datasets_of(rows)
     if resuming:
-        orphans = store.unlisted_samples(spark, root)
-        if not orphans.isEmpty():
-            store.append_manifest(orphans, root)
-        rows = resume.resume_remaining(rows, store.stored_manifest(spark, root))
+        _list_orphans(spark, root, datasets)
+        rows = resume.resume_remaining(rows, store.stored_manifest(spark, root, datasets))
     staged = scratch_folder(spark, "encoded")
     batch = spark.conf.get(ARROW_BATCH)
     spark.conf.set(ARROW_BATCH, str(batch_size))
@@ -57,13 +56,20 @@ def build_shards(
     good = models.drop_failed_encodes(stored)
     if not good.isEmpty():
         store.write_shards(good, root, order, shard_size)
-        store.append_manifest(store.unlisted_samples(spark, root), root)
+        _list_orphans(spark, root, datasets)
     return stored.agg(
         F.count_if(F.col("reason").isNull()).alias("written"),
         F.count_if(F.col("reason").isNotNull()).alias("failed"),
     )
 
 
+def _list_orphans(spark: SparkSession, root: str, datasets: list[str] | None) -> None:
+    """Append manifest records for stored samples that have none."""
+    orphans = store.unlisted_samples(spark, root, datasets)
+    if not orphans.isEmpty():
+        store.append_manifest(orphans, root)
+
+
 def manifest_check(manifest: DataFrame, shards: DataFrame, on: Sequence[str] = ("shard", "index")) -> DataFrame:
     """One row of counts that are all 0 when the two agree.
 

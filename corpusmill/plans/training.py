@@ -54,11 +54,12 @@ def training_table(
 ) -> DataFrame:
     """Rows of a training session up to the noised input: the draws with ``x, eps, xt``.
 
-    ``shards`` is ``dataset, shard, index, <x>, ...``. Only keys are drawn and shuffled; payloads are
-    joined once and noised where they are read. ``xxhash`` is the method for bulk noise.
+    ``shards`` is ``dataset, shard, index, <x>, ...``. Only keys are drawn; of the payload, only drawn
+    rows are moved, once, so that the rows of a step lie together and the noise is made by all tasks
+    alike (steps are of equal size). ``xxhash`` is the method for bulk noise.
     """
     draws = training_draws(shards, steps, batch, timesteps, seed, max_shards, method)
-    rows = sampling.gather_samples(draws, shards)
+    rows = sampling.gather_samples(draws, shards).repartition("step")
     return noising.noised(rows, schedule, ["step", "slot"], seed, x, method)
 
 

@@ -16,8 +16,9 @@ from corpusmill.functions.rules import verdict
 from corpusmill.operators import ordered
 from corpusmill.operators.sampling import shuffled
 
-# Fixed value: names of saved checkpoints, group 1 is the step.
+# Names of saved checkpoints (group 1 is the step), and of the latest one.
 CHECKPOINT_NAME = r"unet_step_(\d+)\.pt$"
+LATEST_CHECKPOINT = "unet_latest.pt"
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
@@ -106,6 +107,11 @@ def list_checkpoints(names: DataFrame, shown: int = 10, pattern: str = CHECKPOIN
     )
 
 
+def latest_checkpoint(names: DataFrame, latest: str = LATEST_CHECKPOINT) -> DataFrame:
+    """The latest checkpoint, when it is there."""
+    return names.select("name").filter(paths.basename(F.col("name")) == latest).distinct()
+
+
 def in_listing_order(files: DataFrame) -> DataFrame:
     """Give candidates their ordinal: scan order is path order."""
     return ordered.with_ordinal(files, ["path"])

@@ -17,9 +17,12 @@ from corpusmill.functions.text import MANIFEST_SCHEMA, manifest_line, parsed_man
 from corpusmill.functions.vectors import LATENT_SCALE
 from corpusmill.operators import ordered
 from corpusmill.operators.sizing import broadcast_if_small
+from corpusmill.sources.files import list_files
 
 # Fixed value: samples per shard.
 SHARD_SIZE = 2000
+# Datasets named in a partition filter.
+MAX_PRUNED = 1000
 
 SHARD_SCHEMA = (
     "index bigint, path string, caption string, latent array<float>, shape array<int>, "
@@ -71,19 +74,26 @@ def read_shards(spark: SparkSession, root: str, datasets: Sequence[str] | None =
     return shards.withColumn("latent_scale", default_scale(F.col("latent_scale")))
 
 
-def stored_samples(spark: SparkSession, root: str) -> DataFrame:
+def stored_samples(spark: SparkSession, root: str, datasets: Sequence[str] | None = None) -> DataFrame:
     """:func:`read_shards`, or no rows when nothing is stored yet."""
     try:
-        return read_shards(spark, root)
+        return read_shards(spark, root, datasets)
     except AnalysisException as error:
         if not _is_missing(error):
             raise
         return spark.createDataFrame([], SHARD_SCHEMA)
 
 
-def next_shard_numbers(spark: SparkSession, root: str) -> DataFrame:
+def datasets_of(rows: DataFrame) -> list[str] | None:
+    """The datasets a run touches, to prune what is read back; None (all) when they are too many."""
+    names = [r[0] for r in rows.select("dataset").distinct().limit(MAX_PRUNED + 1).collect()]
+    return names if len(names) <= MAX_PRUNED else None
+
+
+def next_shard_numbers(spark: SparkSession, root: str, datasets: Sequence[str] | None = None) -> DataFrame:
     """``dataset, next``: largest stored shard number plus one."""
-    return stored_samples(spark, root).groupBy("dataset").agg((F.max("shard") + 1).cast("bigint").alias("next"))
+    stored = stored_samples(spark, root, datasets)
+    return stored.groupBy("dataset").agg((F.max("shard") + 1).cast("bigint").alias("next"))
 
 
 def default_scale(scale: Column) -> Column:
@@ -96,20 +106,20 @@ def write_shards(
     """Append encoded samples as shards, numbered on from the existing ones of their ``dataset``.
 
     ``encoded`` is read twice (keys to number, payload to write), so pass a stored table, not an
-    encoder's output. Keys are numbered first and joined to the payload by ``path``; a shard holds at
-    most ``size`` samples, so no task gets more than that of one shard.
+    encoder's output. Keys are numbered first and joined to the payload by ``path`` (broadcast while
+    they are few); a shard holds at most ``size`` samples, so no task gets more than that of one shard.
     """
     spark = encoded.sparkSession
     keys = encoded.select(*dict.fromkeys(["path", "dataset", *order]))
     numbered = ordered.with_ordinal(keys, order, ["dataset"], "_at").select("path", "dataset", "_at")
-    starts = broadcast_if_small(next_shard_numbers(spark, root))
+    starts = broadcast_if_small(next_shard_numbers(spark, root, datasets_of(keys)))
     first, at = F.coalesce("next", F.lit(0).cast("bigint")), F.col("_at")
     placed = numbered.join(starts, "dataset", "left").select(
         "path", shard_of(at, size, first).cast("int").alias("shard"), index_of(at, size).alias("index")
     )
     columns = [c.split()[0] for c in SHARD_SCHEMA.split(", ")]
     (
-        encoded.join(placed, "path")
+        encoded.join(broadcast_if_small(placed), "path")
         .select(*columns)
         .repartition("dataset", "shard")
         .sortWithinPartitions("dataset", "shard", "index")
@@ -137,7 +147,7 @@ def append_manifest(shards: DataFrame, root: str) -> None:
     lines.write.mode("append").partitionBy("dataset").text(manifest_folder(root))
 
 
-def stored_manifest(spark: SparkSession, root: str) -> DataFrame:
+def stored_manifest(spark: SparkSession, root: str, datasets: Sequence[str] | None = None) -> DataFrame:
     """``dataset`` and the manifest's columns; no rows when nothing is stored yet."""
     try:
         lines = spark.read.schema("value string, dataset string").text(manifest_folder(root))
@@ -145,15 +155,27 @@ def stored_manifest(spark: SparkSession, root: str) -> DataFrame:
         if not _is_missing(error):
             raise
         return spark.createDataFrame([], f"dataset string, {MANIFEST_SCHEMA}")
-    return lines.select("dataset", parsed_manifest_line(F.col("value")).alias("rec")).select(
-        "dataset", "rec.*"
-    ).filter(F.col("path").isNotNull())
+    if datasets is not None:
+        lines = lines.filter(F.col("dataset").isin(list(datasets)))
+    records = lines.select("dataset", parsed_manifest_line(F.col("value")).alias("rec"))
+    return records.select("dataset", "rec.*").filter(F.col("path").isNotNull())
+
+
+def listed_datasets(spark: SparkSession, root: str) -> DataFrame:
+    """Datasets that have a manifest, from the file listing alone."""
+    try:
+        files = list_files(spark, manifest_folder(root))
+    except AnalysisException as error:
+        if not _is_missing(error):
+            raise
+        return spark.createDataFrame([], "dataset string")
+    return files.select(F.regexp_extract("path", "/dataset=([^/]+)/", 1).alias("dataset")).distinct()
 
 
-def unlisted_samples(spark: SparkSession, root: str) -> DataFrame:
+def unlisted_samples(spark: SparkSession, root: str, datasets: Sequence[str] | None = None) -> DataFrame:
     """Stored samples that no manifest record names (a run stopped between the two writes)."""
-    listed = stored_manifest(spark, root).select("dataset", "path")
-    return stored_samples(spark, root).join(listed, ["dataset", "path"], "left_anti")
+    listed = stored_manifest(spark, root, datasets).select("dataset", "path")
+    return stored_samples(spark, root, datasets).join(listed, ["dataset", "path"], "left_anti")
 
 
 def positional_lookup(manifest: DataFrame, shards: DataFrame, on: Sequence[str] = ("shard", "index")) -> DataFrame:

@@ -124,6 +124,7 @@ def test_list_checkpoints(spark):
     names = spark.createDataFrame([(f"x/unet_step_{i:05d}.pt",) for i in range(13)] + [("x/unet_latest.pt",)], "name string")
     got = src.list_checkpoints(names).collect()
     assert [r.step for r in got] == list(range(12, 2, -1)) and got[0].older == 3
+    assert src.latest_checkpoint(names).count() == 1 and src.latest_checkpoint(names.limit(3)).count() == 0
 
 
 def test_list_shards(spark):
@@ -276,6 +277,13 @@ def test_log_report(spark):
     assert report.coverage.count() == 3
 
 
+def test_log_report_with_one_step_only(spark):
+    log = spark.createDataFrame([(1, float(i), "s") for i in range(60)], "step bigint, loss double, shard string")
+    rows = reports.log_report(log.coalesce(1), alpha=0.5).smoothed.collect()
+    want = pd.Series([float(i) for i in range(60)]).ewm(alpha=0.5, adjust=False).mean()
+    assert np.allclose(sorted(r.ema for r in rows), sorted(want))
+
+
 def test_diff_totals_of_nothing(spark):
     a = spark.createDataFrame([("w", [1], [1.0])], "param string, shape array<int>, values array<double>")
     b = a.withColumn("param", F.lit("v"))
