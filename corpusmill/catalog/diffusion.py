@@ -28,7 +28,7 @@ def _timed(spark, sf_dir):
 
 
 def _noised(spark, sf_dir):
-    return noising.noised(_timed(spark, sf_dir), _schedule(spark), ["sample"], b.EPS_SEED)
+    return noising.noised(_timed(spark, sf_dir), _schedule(spark), ["sample"], b.EPS_SEED, method="md5")
 
 
 def _exploded(df, *keys):
@@ -159,8 +159,8 @@ def _step_rows(spark, sf_dir, prev: bool):
     """Each sample at the fixed timesteps, with noise and schedule."""
     ts = F.explode(F.array(*[F.lit(t) for t in (0, 1, 500, 999)]))
     rows = b.latents(spark, sf_dir)
-    rows = noising.with_noise(rows, "x", ["sample"], b.EPS_SEED, "eps")
-    rows = noising.with_noise(rows, "x", ["sample"], _Z_SEED, "z").withColumn("t", ts)
+    rows = noising.with_noise(rows, "x", ["sample"], b.EPS_SEED, "eps", "md5")
+    rows = noising.with_noise(rows, "x", ["sample"], _Z_SEED, "z", "md5").withColumn("t", ts)
     rows = noising.gather_schedule(rows, _schedule(spark))
     if prev:
         rows = rows.withColumn("t_prev", F.floor(F.col("t") / 2).cast("int"))

@@ -54,7 +54,7 @@ def step_shard(spark, sf_dir):
 
 def _draws(spark, sf_dir):
     keys = b.shard_keys(spark, sf_dir)
-    return keys, training.training_draws(keys, b.steps(spark, sf_dir), b.BATCH, b.TIMESTEPS, b.SHUFFLE_SEED)
+    return keys, training.training_draws(keys, b.steps(spark, sf_dir), b.BATCH, b.TIMESTEPS, b.SHUFFLE_SEED, method="md5")
 
 
 @query(
@@ -85,7 +85,7 @@ def gather_samples(spark, sf_dir):
 def training_table(spark, sf_dir):
     rows = training.training_table(
         b.shards(spark, sf_dir), b.steps(spark, sf_dir), training.default_schedule(spark, b.TIMESTEPS),
-        b.BATCH, b.TIMESTEPS, b.SHUFFLE_SEED,
+        b.BATCH, b.TIMESTEPS, b.SHUFFLE_SEED, method="md5",
     )
     xt = F.col("xt")
     return rows.select("step", "slot", "t", r6(vec.total(xt)).alias("xt_sum"), r6(vec.sum_squares(xt)).alias("xt_sum_sq"))

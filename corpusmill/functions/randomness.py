@@ -2,17 +2,22 @@
 
 ``rand(seed)`` depends on how rows are partitioned, so a lost executor or another cluster size would
 change the draws. These depend on the row's key only. ``md5`` can be repeated by any SQL engine;
-``xxhash`` stays inside generated code and is the one for bulk noise.
+``xxhash`` stays inside generated code. ``philox`` is for noise of long arrays: a counter-based
+generator per row, keyed by the row's hash, in Arrow batches; lambdas over arrays run element by element
+in the JVM and are many times slower there. Single numbers under ``philox`` are those of ``xxhash``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-METHODS = ("md5", "xxhash")
+METHODS = ("md5", "xxhash", "philox")
 
 
 def _check(method: str) -> None:
@@ -41,7 +46,7 @@ def _long_unit(hashed: Column) -> Column:
 def uniform(seed: int, *key: Column, method: str = "md5") -> Column:
     """Uniform in [0, 1)."""
     _check(method)
-    if method == "xxhash":
+    if method != "md5":
         return _long_unit(F.xxhash64(F.lit(seed), *key))
     return _hex_unit(digest(seed, *key), 1)
 
@@ -57,10 +62,24 @@ def order_key(seed: int, *key: Column) -> Column:
     return digest(seed, *key)
 
 
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def _philox_normal(hashed: pd.Series, size: pd.Series) -> pd.Series:
+    keys = hashed.to_numpy(dtype=np.int64).view(np.uint64)
+    return pd.Series(
+        [
+            np.random.Generator(np.random.Philox(key=key)).standard_normal(max(n, 0))
+            for key, n in zip(keys, size)
+        ],
+        dtype=object,
+    )
+
+
 def gaussian_array(n: Column | int, seed: int, *key: Column, method: str = "md5") -> Column:
-    """``n`` standard normal values by the Box-Muller transform, two per hash."""
+    """``n`` standard normal values: by the Box-Muller transform, two per hash, or by ``philox``."""
     _check(method)
     size = F.lit(n) if isinstance(n, int) else n
+    if method == "philox":
+        return _philox_normal(F.xxhash64(F.lit(seed), *key), size.cast("int"))
 
     def two(u1: Column, u2: Column) -> Column:
         radius = F.sqrt(F.lit(-2.0) * F.ln(F.lit(1.0) - u1))

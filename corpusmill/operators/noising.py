@@ -26,7 +26,7 @@ def with_noise(
     key: Sequence[str],
     seed: int,
     name: str = "eps",
-    method: str = "md5",
+    method: str = "philox",
 ) -> DataFrame:
     """Standard normal noise of the same length as ``x0``."""
     noise = rnd.gaussian_array(F.size(x0), seed, *[F.col(c) for c in key], method=method)
@@ -39,7 +39,7 @@ def noised(
     key: Sequence[str],
     seed: int,
     x0: str = "x",
-    method: str = "md5",
+    method: str = "philox",
 ) -> DataFrame:
     """Forward noising: adds ``eps``, the schedule's columns and ``xt``."""
     with_eps = with_noise(gather_schedule(rows, schedule), x0, key, seed, "eps", method)

@@ -23,6 +23,7 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -186,14 +187,16 @@ def previous_value(
 # --- exponential moving average -------------------------------------------------------------------
 
 
-def _runs(keys: pd.DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _runs(batch: pa.RecordBatch, by: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """Number the runs of equal rows (rows are sorted, so a run is a group) and give each row its run's start."""
-    change = np.zeros(n, dtype=bool)
-    for name in keys.columns:
-        column = keys[name]
-        shifted = column.shift()
-        change |= ~((column == shifted) | (column.isna() & shifted.isna())).to_numpy(dtype=bool)
-    change[0] = True
+    change = np.zeros(batch.num_rows, dtype=bool)
+    for name in by:
+        column = batch.column(name)
+        after, before = column.slice(1), column.slice(0, batch.num_rows - 1)
+        differs = pc.fill_null(pc.not_equal(after, before), False)
+        one_null = pc.xor(pc.is_null(after), pc.is_null(before))
+        change[1:] |= pc.or_(differs, one_null).to_numpy(zero_copy_only=False)
+    change[:1] = True
     codes = np.cumsum(change) - 1
     return codes, np.flatnonzero(change)[codes]
 
@@ -219,19 +222,18 @@ def _local_ema(
         if batch.num_rows == 0:
             continue
         values = batch.column(value).to_pandas().to_numpy(dtype=float)
-        keys = pa.Table.from_batches([batch]).select(list(by)).to_pandas()
-        codes, starts = _runs(keys, len(values))
+        codes, starts = _runs(batch, by)
         out = fold_runs(values, codes, starts, alpha)
         k = np.arange(len(values)) - starts
         start = values[starts]
-        group = _row_key(keys, 0)
+        group = _row_key(batch, by, 0)
         if open_group is not None and open_group[0] == group:
             head = codes == 0
             _, last, last_k, first = open_group
             out = np.where(head, out + alpha ** (k + 1) * (last - start), out)
             k = np.where(head, k + last_k + 1, k)
             start = np.where(head, first, start)
-        open_group = (_row_key(keys, len(values) - 1), out[-1], k[-1], start[-1])
+        open_group = (_row_key(batch, by, len(values) - 1), out[-1], k[-1], start[-1])
         n = len(values)
         extra = {
             SEG: pa.array(np.full(n, segment, dtype=np.int32)),
@@ -246,8 +248,8 @@ def _local_ema(
         )
 
 
-def _row_key(keys: pd.DataFrame, row: int) -> tuple:
-    return tuple(None if pd.isna(v) else v for v in keys.iloc[row]) if len(keys.columns) else ()
+def _row_key(batch: pa.RecordBatch, by: Sequence[str], row: int) -> tuple:
+    return tuple(batch.column(name)[row].as_py() for name in by)
 
 
 def ema(

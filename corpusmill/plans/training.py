@@ -33,7 +33,7 @@ def session_steps(spark: SparkSession, start: int = 0, steps: int = STEPS) -> Da
 
 def training_draws(
     shards: DataFrame, steps: DataFrame, batch: int = BATCH, timesteps: int = TIMESTEPS, seed: int = 0,
-    max_shards: int = 0, method: str = "md5",
+    max_shards: int = 0, method: str = "philox",
 ) -> DataFrame:
     """``step, slot, dataset, shard, index, t``."""
     sizes = shard_sizes(shards, seed, max_shards)
@@ -49,14 +49,15 @@ def training_table(
     timesteps: int = TIMESTEPS,
     seed: int = 0,
     max_shards: int = 0,
-    method: str = "md5",
+    method: str = "philox",
     x: str = "x",
 ) -> DataFrame:
     """Rows of a training session up to the noised input: the draws with ``x, eps, xt``.
 
     ``shards`` is ``dataset, shard, index, <x>, ...``. Only keys are drawn; of the payload, only drawn
     rows are moved, once, so that the rows of a step lie together and the noise is made by all tasks
-    alike (steps are of equal size). ``xxhash`` is the method for bulk noise.
+    alike (steps are of equal size). ``method`` is how random
+    numbers are made (see ``functions.randomness``).
     """
     draws = training_draws(shards, steps, batch, timesteps, seed, max_shards, method)
     rows = sampling.gather_samples(draws, shards).repartition("step")

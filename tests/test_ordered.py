@@ -111,6 +111,16 @@ def test_ema_nan_stays(spark, parts):
         assert math.isnan(got[i]) if i >= 20 else got[i] == pytest.approx(want[i])
 
 
+def test_ema_with_null_groups(spark):
+    rows = [(i, None if i % 3 == 0 else "a" if i % 3 == 1 else "", float(i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id bigint, grp string, x double")
+    got = {r.id: r.ema for r in ordered.ema(df, "x", ["id"], ["grp"], 0.5, partitions=4).collect()}
+    for key in (None, "a", ""):
+        items = [(i, x) for i, g, x in rows if g == key]
+        for (i, _), want in zip(items, loop_ema([x for _, x in items], 0.5)):
+            assert got[i] == pytest.approx(want)
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], "id bigint, grp string, x double")
     assert ordered.with_ordinal(df, ["id"]).count() == 0
