@@ -17,12 +17,13 @@ def keepers(df: DataFrame, content_hash: str, order: str) -> DataFrame:
     """The first row of each hash in ``order``: ``hash, kept, copies``.
 
     A partial aggregate runs before the shuffle, so a hash that most rows share costs one row per
-    task.
+    task. Rows without a hash are dropped after it: a filter on the hash would compute it twice.
     """
+    hashed = F.when(F.col(content_hash).isNotNull(), F.col(order))
     return (
-        df.filter(F.col(content_hash).isNotNull())
-        .groupBy(content_hash)
-        .agg(F.min(order).alias("kept"), F.count("*").alias("copies"))
+        df.groupBy(content_hash)
+        .agg(F.min(hashed).alias("kept"), F.count("*").alias("copies"))
+        .filter(F.col("kept").isNotNull())
     )
 
 
