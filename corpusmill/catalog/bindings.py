@@ -93,8 +93,11 @@ def shard_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``sample, dataset, shard, index, x, y``."""
-    payload = latents(spark, sf_dir).select("sample", "x", "y")
-    return shard_keys(spark, sf_dir).join(payload, "sample")
+    return with_payload(spark, sf_dir, shard_keys(spark, sf_dir))
+
+
+def with_payload(spark: SparkSession, sf_dir: str, keys: DataFrame) -> DataFrame:
+    return keys.join(latents(spark, sf_dir).select("sample", "x", "y"), "sample")
 
 
 def steps(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,10 +83,9 @@ def gather_samples(spark, sf_dir):
     GROUP BY step, slot, t"""),
 )
 def training_table(spark, sf_dir):
-    rows = training.training_table(
-        b.shards(spark, sf_dir), b.steps(spark, sf_dir), training.default_schedule(spark, b.TIMESTEPS),
-        b.BATCH, b.TIMESTEPS, b.SHUFFLE_SEED, method="md5",
-    )
+    keys, draws = _draws(spark, sf_dir)
+    schedule = training.default_schedule(spark, b.TIMESTEPS)
+    rows = training.training_rows(b.with_payload(spark, sf_dir, keys), draws, schedule, b.SHUFFLE_SEED, "md5")
     xt = F.col("xt")
     return rows.select("step", "slot", "t", r6(vec.total(xt)).alias("xt_sum"), r6(vec.sum_squares(xt)).alias("xt_sum_sq"))
 

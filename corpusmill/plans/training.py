@@ -54,13 +54,21 @@ def training_table(
 ) -> DataFrame:
     """Rows of a training session up to the noised input: the draws with ``x, eps, xt``.
 
-    ``shards`` is ``dataset, shard, index, <x>, ...``. Only keys are drawn; of the payload, only drawn
-    rows are moved, once, so that the rows of a step lie together and the noise is made by all tasks
-    alike (steps are of equal size). ``method`` is how random
-    numbers are made (see ``functions.randomness``).
+    ``shards`` is ``dataset, shard, index, <x>, ...``. ``method`` is how random numbers are made (see
+    ``functions.randomness``).
     """
     draws = training_draws(shards, steps, batch, timesteps, seed, max_shards, method)
-    rows = sampling.gather_samples(draws, shards).repartition("step")
+    return training_rows(shards, draws, schedule, seed, method, x)
+
+
+def training_rows(
+    shards: DataFrame, draws: DataFrame, schedule: DataFrame, seed: int = 0, method: str = "philox", x: str = "x"
+) -> DataFrame:
+    """The rows of given draws. Of the payload only drawn rows are moved, once, so that the rows of a
+    step lie together and all tasks make the noise alike (steps are of equal size). The number of
+    partitions is given: making noise costs far more than its bytes tell, so they must not be merged."""
+    spread = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = sampling.gather_samples(draws, shards).repartition(spread, "step")
     return noising.noised(rows, schedule, ["step", "slot"], seed, x, method)
 
 
