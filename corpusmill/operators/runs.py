@@ -105,7 +105,7 @@ def exact_quantiles(
 def describe_exact(
     df: DataFrame, columns: Sequence[str], approximate: bool = False, partitions: int | None = None
 ) -> DataFrame:
-    """Count, mean, std (n-1), min, quartiles and max per column.
+    """Count, mean, std (n-1), min, quartiles and max per column; a column without values has count 0.
 
     All comes from the counted values, so the input is read once for all columns. ``approximate``
     takes the quartiles from ``percentile_approx`` instead, without any order.
@@ -138,7 +138,12 @@ def describe_exact(
             .agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(q) for p, q in zip(QUARTILES, names)])
         )
         found = means.join(F.broadcast(spread), "column").join(F.broadcast(quartiles), "column")
-    return found.select("column", "count", "mean", "std", "min", *names, "max")
+    asked = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    count = F.coalesce("count", F.lit(0).cast("bigint")).alias("count")
+    # One row per column on both sides.
+    return asked.join(F.broadcast(found), "column", "left").select(
+        "column", count, "mean", "std", "min", *names, "max"
+    )
 
 
 def interval_seconds(interval: Column) -> Column:

@@ -243,6 +243,8 @@ def test_describe_small(spark):
     one = spark.createDataFrame([(3.0,)], "x double")
     row = runs.describe_exact(one, ["x"]).head()
     assert (row["count"], row["std"], row.q25, row.q75) == (1, None, 3.0, 3.0)
+    empty = runs.describe_exact(one.filter("x > 9"), ["x"]).head()
+    assert (empty["count"], empty["mean"], empty.q50) == (0, None, None)
     near = runs.describe_exact(spark.range(1001), ["id"], approximate=True).head()
     assert near.q50 == 500.0 and near["std"] == pytest.approx(statistics.stdev(range(1001)))
 
