@@ -144,6 +144,6 @@ def judged(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
 def kept_rows(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Rows that break no rule, with the columns of ``docs``."""
     names = docs.columns
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
-    fine = inner.withColumn("quality", metrics(F.col("row")[text])).where(F.size(failed(rules, F.col("quality"))) == 0)
-    return fine.select("row.*")
+    # One expression: a filter on a computed column would compute it again for each rule.
+    fine = let(metrics(F.col("row")[text]), lambda m: F.size(failed(rules, m)) == 0)
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")).where(fine).select("row.*")
