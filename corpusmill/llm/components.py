@@ -39,33 +39,39 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in part], type=kind.field(i).type) for i in (0, 1)], schema=kind)
 
 
-def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+FEW_EDGES = 200_000
+
+
+def components(edges: DataFrame, max_rounds: int = 100, few: int = FEW_EDGES) -> DataFrame:
     """``node, component`` (smallest node reachable) for each node of the edges ``a, b``.
 
-    Each partition first reduces its edges to a forest, which is at most one edge for each node in it. Then large and small stars
-    alternate: every node's greater neighbours are linked to its smallest neighbour, then its smaller ones. The number
-    of rounds grows with the logarithm of the longest path. Each round is checkpointed.
+    Each partition first reduces its edges to a forest, which is at most one edge for each node in it. At most ``few`` edges left are
+    finished by union-find in one task. Of more, large and small stars alternate: every node's greater neighbours are linked to its
+    smallest neighbour, then its smaller ones; the number of rounds grows with the logarithm of the longest path. Both give the same
+    rows. Each round is checkpointed.
     """
     shared_folder(edges.sparkSession)
     edges = edges.select("a", "b").where(F.col("a") != F.col("b"))
     tree = edges.mapInArrow(_forest, edges.schema).checkpoint()
-    if tree.isEmpty():
-        return tree.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    if tree.count() <= few:
+        tree = tree.repartition(1).mapInArrow(_forest, edges.schema).checkpoint()
+        return _named(tree)
     print_of = None
     for _ in range(max_rounds):
         both = tree.union(tree.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.where(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
+        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct().checkpoint()
         floor = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(floor, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(floor.select("a", F.col("m").alias("b")))
         tree = small.where("a != b").distinct().checkpoint()
         state = tree.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == print_of:
-            break
+            return _named(tree)
         print_of = state
-    else:
-        raise RuntimeError("components did not settle")
+    raise RuntimeError("components did not settle")
+
+
+def _named(tree: DataFrame) -> DataFrame:
     leaves = tree.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    roots = tree.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return leaves.union(roots)
+    return leaves.union(tree.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -1,15 +1,16 @@
 """Near-duplicate groups by SuperMinHash.
 
-1. One pass over the texts gives each document the size and a 128-bit fingerprint of its shingle set, and the
+1. One pass over the texts gives each document the size and a 64-bit fingerprint of its shingle set, and the
    band keys of its SuperMinHash signature. No set leaves its task.
 2. Documents of equal fingerprint are one *class*; from here on there is one row per class, so a group of exact
    copies of any size is one row.
 3. Classes that share a band key are candidates. Buckets are not expanded into all pairs. In rounds, each bucket
-   that still holds more than one component checks its members against a few leaders, on full sets; what links is
+   that still holds more than one component checks its members against some leaders, on full sets; what links is
    merged by union-find, the leaders have then met everyone and leave the bucket, and buckets that hold one component are
    finished, since links inside a component change nothing. Small remainders are checked pair by pair.
    Nothing is capped: a bucket is finished only when each pair of its members was checked or lies in one component.
 
+Two of n different sets share a fingerprint with a probability of about ``n**2 / 2**65``.
 A link of similarity s is missed with probability ``(1 - s**rows)**bands``: 3.9e-7 at 0.8 with the default 28 bands of 4.
 
 Defined results: NULL and empty texts and texts without words have size 0 and are linked with nothing. The
@@ -33,8 +34,8 @@ from corpusmill.session import scratch_folder, shared_folder
 
 BANDS = 28
 ROWS = 4
-LEADERS = 4
-SMALL_BUCKET = 12
+LEADERS = 8
+SMALL_BUCKET = 16
 _CHUNK = 200_000  # elements whose permutations are held at a time
 _NO_ID = -(1 << 63)
 
@@ -75,12 +76,17 @@ def _band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def _fingerprint(shingles: np.ndarray) -> int | None:
+    """64 bits of a digest of the whole set; None for the empty set."""
+    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True) if len(shingles) else None
+
+
 def _sketches(batches: Iterator[pa.RecordBatch], shingle_words: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for block in bytetext.blocks(batch.column(2)):
             sets = bytetext.shingle_sets(block, shingle_words)
             sizes = np.array([len(s) for s in sets], dtype=np.int64)
-            prints = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+            prints = [_fingerprint(s) for s in sets]
             keys = np.zeros((block.rows, bands), dtype=np.int64)
             at = 0
             while at < block.rows:
@@ -93,32 +99,31 @@ def _sketches(batches: Iterator[pa.RecordBatch], shingle_words: int, bands: int,
             lists = pa.ListArray.from_arrays(pa.array(np.arange(block.rows + 1, dtype=np.int32) * bands), pa.array(keys.reshape(-1)))
             span = slice(block.first, block.first + block.rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0)[span], batch.column(1)[span], pa.array(sizes), pa.array(prints, type=pa.binary()), lists],
+                [batch.column(0)[span], batch.column(1)[span], pa.array(sizes), pa.array(prints, type=pa.int64()), lists],
                 names=["id", "tie", "size", "class", "bands"],
             )
 
 
 def _checked(batches: Iterator[pa.RecordBatch], shingle_words: int, threshold: float) -> Iterator[pa.RecordBatch]:
-    """Pairs of classes whose full sets are at least as similar as ``threshold``."""
+    """Labels of the pairs ``a, la, lb, ta, tb`` whose full sets are at least as similar as ``threshold``; rows come in order of ``a``."""
     percent = round(threshold * 100)
-    last: tuple[bytes, np.ndarray] | None = None
+    last: tuple[int, np.ndarray] | None = None
     for batch in batches:
-        leader, member = batch.column(0), batch.column(1)
-        for block in bytetext.blocks(batch.column(3)):
+        names = batch.column(0).to_pylist()
+        for block in bytetext.blocks(batch.column(4)):
             sets = bytetext.shingle_sets(block, shingle_words)
             linked = []
             for i, b in enumerate(sets):
                 at = block.first + i
-                name = leader[at].as_py()
-                if last is None or last[0] != name:
-                    alone = next(bytetext.blocks(pa.array([batch.column(2)[at].as_py()], type=pa.large_string())))
-                    last = (name, bytetext.shingle_sets(alone, shingle_words)[0])
+                if last is None or last[0] != names[at]:
+                    alone = next(bytetext.blocks(pa.array([batch.column(3)[at].as_py()], type=pa.large_string())))
+                    last = (names[at], bytetext.shingle_sets(alone, shingle_words)[0])
                 a = last[1]
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 if 100 * both >= percent * (len(a) + len(b) - both):
                     linked.append(at)
             keep = pa.array(linked, type=pa.int64())
-            yield pa.RecordBatch.from_arrays([leader.take(keep), member.take(keep)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(1).take(keep), batch.column(2).take(keep)], names=["a", "b"])
 
 
 def _row_id(column: Column) -> Column:
@@ -144,7 +149,7 @@ def near_duplicates(
     texts = docs.select(_row_id(F.col(key)).alias("id"), F.xxhash64(text).alias("tie"), F.col(text).alias("text"))
     sketch_path, class_path, text_path = (scratch_folder(spark, f"near-{x}") for x in ("sketches", "classes", "texts"))
     texts.mapInArrow(
-        lambda batches: _sketches(batches, shingle_words, bands, rows), "id bigint, tie bigint, size bigint, class binary, bands array<bigint>"
+        lambda batches: _sketches(batches, shingle_words, bands, rows), "id bigint, tie bigint, size bigint, class bigint, bands array<bigint>"
     ).write.parquet(sketch_path)
     sketches = spark.read.parquet(sketch_path)
 
@@ -163,13 +168,14 @@ def near_duplicates(
     texts.join(wanted, ["id", "tie"]).select("class", "text").dropDuplicates(["class"]).write.parquet(text_path)
     bodies = spark.read.parquet(text_path)
 
-    labels = _linked(spark, buckets, bodies, shingle_words, threshold)
-    grouped = classes.select("class", "rep").join(labels, F.col("class") == F.col("node"), "left").withColumn("group", F.coalesce("component", "class"))
+    grouped = classes.select("class", "rep", F.col("class").alias("group"))
+    for merged in _linked(buckets, bodies, shingle_words, threshold):
+        grouped = _relabelled(grouped, "group", merged)
     ids = sketches.where("class is not null").groupBy("class").agg(F.min(F.when(F.col("id") != _NO_ID, F.col("id"))).alias("least"))
-    named = (
-        grouped.join(ids, "class")
-        .join(grouped.join(ids, "class").groupBy("group").agg(F.min("least").alias("component_id"), F.min(F.struct(F.col("least").isNull(), "least", "rep")).alias("best")), "group")
-        .select("class", "component_id", (F.col("best")["rep"] == F.col("rep")).alias("stays"), F.col("best")["least"].alias("best_id"))
+    grouped = grouped.join(ids, "class").checkpoint()
+    best = grouped.groupBy("group").agg(F.min("least").alias("component_id"), F.min(F.struct(F.col("least").isNull(), "least", "rep")).alias("best"))
+    named = grouped.join(best, "group").select(
+        "class", "component_id", (F.col("best")["rep"] == F.col("rep")).alias("stays"), F.col("best")["least"].alias("best_id")
     )
     out = sketches.select("id", "tie", F.col("size").alias("n_shingles"), "class").join(named, "class", "left")
     # A document without words is its own component.
@@ -179,11 +185,10 @@ def near_duplicates(
     return out.select(own.alias("id"), "tie", "n_shingles", F.when(alone, own).otherwise(F.col("component_id")).alias("component_id"), first.alias("first"), "class")
 
 
-def _linked(spark, buckets: DataFrame, bodies: DataFrame, shingle_words: int, threshold: float) -> DataFrame:
-    """``node, component`` of all classes that have a link."""
+def _linked(buckets: DataFrame, bodies: DataFrame, shingle_words: int, threshold: float) -> list[DataFrame]:
+    """Maps ``node, component`` to apply one after the other to a class to get its component; nodes not in a map stay."""
     percent = round(threshold * 100)
-    links: DataFrame | None = None
-    labels: DataFrame | None = None
+    maps: list[DataFrame] = []
     left = buckets.withColumn("label", F.col("class"))
     while True:
         state = left.groupBy("band").agg(
@@ -191,38 +196,39 @@ def _linked(spark, buckets: DataFrame, bodies: DataFrame, shingle_words: int, th
         ).where("low != high").select("band", "n")
         left = left.join(state, "band").checkpoint()
         if left.isEmpty():
-            break
-        # Leaders of a large bucket are its least classes; in a small one, everyone leads.
-        ranked = left.where(F.col("n") <= SMALL_BUCKET).union(_least(left.where(F.col("n") > SMALL_BUCKET)))
-        leaders = ranked.select("band", F.col("class").alias("a"), F.col("label").alias("la"), F.col("size").alias("sa"))
+            return maps
+        # In a small bucket everyone leads. A large one gets a few leaders by one aggregate, of those outside its largest
+        # component: once these have met everyone, one component is left. Later rounds take more leaders, so rounds are few.
+        large = left.where(F.col("n") > SMALL_BUCKET)
+        most = large.groupBy("band", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("band").agg(F.max_by("label", "c").alias("main"))
+        slot = F.pmod(F.xxhash64("class"), F.lit(LEADERS ** (len(maps) + 1)))
+        led = large.join(most, "band").where("label != main").groupBy("band", slot.alias("slot")).agg(
+            F.min("class").alias("a"), F.min_by("label", "class").alias("label"), F.min_by("size", "class").alias("size")
+        )
+        leaders = left.where(F.col("n") <= SMALL_BUCKET).select("band", F.col("class").alias("a"), F.col("label").alias("la"), F.col("size").alias("sa"))
+        leaders = leaders.union(led.select("band", "a", "label", "size")).checkpoint()
         near = (100 * F.least("sa", "size") >= percent * F.greatest("sa", "size")) & (F.col("la") != F.col("label"))
         either = F.when(F.col("n") <= SMALL_BUCKET, F.col("a") < F.col("class")).otherwise(F.col("a") != F.col("class"))
         pairs = left.join(leaders, "band").where(near & either)
-        pairs = pairs.select(F.least("a", "class").alias("a"), F.greatest("a", "class").alias("b")).distinct()
+        low = F.col("a") < F.col("class")
+        pairs = pairs.select(
+            F.least("a", "class").alias("a"), F.greatest("a", "class").alias("b"),
+            F.when(low, F.col("la")).otherwise(F.col("label")).alias("la"), F.when(low, F.col("label")).otherwise(F.col("la")).alias("lb"),
+        ).distinct()
         sides = pairs.join(bodies.select(F.col("class").alias("a"), F.col("text").alias("ta")), "a").join(bodies.select(F.col("class").alias("b"), F.col("text").alias("tb")), "b")
-        found = (
-            sides.select("a", "b", "ta", "tb").sortWithinPartitions("a")
-            .mapInArrow(lambda batches: _checked(batches, shingle_words, threshold), "a binary, b binary").checkpoint()
+        links = (
+            sides.select("a", "la", "lb", "ta", "tb").sortWithinPartitions("a")
+            .mapInArrow(lambda batches: _checked(batches, shingle_words, threshold), "a bigint, b bigint")
         )
-        links = found if links is None else links.union(found)
-        labels = components(links).checkpoint()
+        merged = components(links)
+        maps.append(merged)
         rest = left.where(F.col("n") > SMALL_BUCKET).join(leaders.select("band", F.col("a").alias("class")), ["band", "class"], "left_anti")
-        left = (
-            rest.select("band", "class", "size").join(labels, F.col("class") == F.col("node"), "left")
-            .select("band", "class", "size", F.coalesce("component", "class").alias("label"))
-        )
-    return labels if labels is not None else buckets.select(F.col("class").alias("node"), F.col("class").alias("component")).limit(0)
+        left = _relabelled(rest.select("band", "class", "size", "label"), "label", merged)
 
 
-def _least(left: DataFrame) -> DataFrame:
-    """The ``LEADERS`` least members of each bucket, by repeated minima: no bucket is sorted in one task."""
-    taken, rest = None, left
-    for _ in range(LEADERS):
-        best = rest.groupBy("band").agg(F.min(F.struct("class", "size", "label", "n")).alias("m"))
-        row = best.select("band", "m.class", "m.size", "m.label", "m.n").select(left.columns)
-        taken = row if taken is None else taken.union(row)
-        rest = rest.join(best.select("band", F.col("m.class").alias("_c")), "band").where(F.col("class") > F.col("_c")).drop("_c")
-    return taken
+def _relabelled(rows: DataFrame, name: str, merged: DataFrame) -> DataFrame:
+    joined = rows.join(merged, F.col(name) == F.col("node"), "left")
+    return joined.withColumn(name, F.coalesce("component", name)).drop("node", "component")
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -231,7 +237,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     Rows without words all stay; of equal rows with words one stays.
     """
     found = near_duplicates(docs, key, text, **options).where("first").select(
-        F.coalesce("id", F.lit(_NO_ID)).alias("id"), "tie", F.coalesce("class", F.xxhash64("id", "tie").cast("string").cast("binary")).alias("class"),
+        F.coalesce("id", F.lit(_NO_ID)).alias("id"), "tie", F.coalesce("class", F.xxhash64("id", "tie")).alias("class"),
         F.col("class").isNull().alias("wordless"),
     )
     winners = found.dropDuplicates(["class"]).select(F.col("id").alias("_id"), F.col("tie").alias("_tie"), "wordless")
