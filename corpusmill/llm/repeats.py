@@ -2,7 +2,7 @@
 
 A suffix array over all bytes would shuffle one row per byte for each round. Here the rows are *anchors*: of the ``LENGTH``
 bytes of a window, the position whose ``SEED`` bytes have the least hash (the leftmost of equals). Equal windows have their
-anchor at the same place, so anchors are all that has to be ranked, one for about every 35 bytes. The rank of a position at a length is
+anchor at the same place, so anchors are all that has to be ranked, one for about every 40 bytes. The rank of a position at a length is
 a hash of that many bytes; positions leave as soon as they are unique.
 
 1. ``SEED`` bytes: anchors are ranked alone; one that is unique has only unique windows and leaves.
@@ -35,7 +35,7 @@ from corpusmill.llm import bytetext
 from corpusmill.session import scratch_folder
 
 LENGTH = 100
-SEED = 32
+SEED = 24
 REACH = (LENGTH - SEED) // 2
 HALF = 64
 PIECE = 1 << 20
@@ -184,7 +184,7 @@ def _half_ranks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 _HALVES = "id bigint, tie bigint, at bigint, low int, high int, side int, rank bigint"
 _HALF_NAMES = [x.split()[0] for x in _HALVES.split(", ")]
-_POSITIONS = "id bigint, tie bigint, at bigint, front bigint, back bigint"
+_POSITIONS = "part int, front bigint, back bigint, id bigint, tie bigint, start bigint, end bigint"
 _POSITION_NAMES = [x.split()[0] for x in _POSITIONS.split(", ")]
 
 
@@ -203,7 +203,11 @@ def _open_anchors(batches: Iterator[pa.RecordBatch]):
 
 
 def _window_ranks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every window of the open anchors that its sides leave open, with the ranks of its first and last ``HALF`` bytes."""
+    """Every window of the open anchors that its sides leave open, with the ranks of its first and last ``HALF`` bytes (part 0).
+
+    Of the windows that a task holds at a time, only the earliest of equal ranks is ranked further; the others are intervals (part 1).
+    """
+    found: list[np.ndarray] = []
     for batch, block, prefix, row, at, low, high, sides in _open_anchors(batches):
         for cut in range(0, len(row), 20_000):
             own = slice(cut, cut + 20_000)
@@ -220,7 +224,30 @@ def _window_ranks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             front = bytetext.mix(bytetext.span_hash(prefix, p, p + HALF)).view(np.int64)
             back = bytetext.mix(bytetext.span_hash(prefix, p + LENGTH - HALF, p + LENGTH)).view(np.int64)
             r = block.first + r
-            yield _batch(_POSITION_NAMES, _POSITIONS, batch[0][r], batch[1][r], start, front, back)
+            found.append(np.stack([front, back, batch[0][r], batch[1][r], start]))
+            if sum(x.shape[1] for x in found) > 400_000:
+                yield from _reduced_windows(found)
+                found = []
+    if found:
+        yield from _reduced_windows(found)
+
+
+def _reduced_windows(found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    front, back, ids, ties, start = np.concatenate(found, axis=1)
+    order = np.lexsort((start, ids, back, front))
+    front, back, ids, ties, start = (x[order] for x in (front, back, ids, ties, start))
+    head = np.ones(len(order), dtype=bool)
+    head[1:] = (front[1:] != front[:-1]) | (back[1:] != back[:-1])
+    lead = np.flatnonzero(head)[np.cumsum(head) - 1]
+    repeat = (ids != ids[lead]) | (start != start[lead])
+    stays = ~repeat
+    yield _batch(_POSITION_NAMES, _POSITIONS, np.zeros(int(stays.sum())), front[stays], back[stays], ids[stays], ties[stays], start[stays], start[stays] + LENGTH)
+    if repeat.any():
+        texts, row = np.unique(np.stack([ids[repeat], ties[repeat]]), axis=1, return_inverse=True)
+        row, first, last = _merged(row.reshape(-1), start[repeat], start[repeat] + LENGTH)
+        spread = bytetext.mix((row * 1_000_003 + first).astype(np.uint64)).view(np.int64)
+        zero = np.zeros(len(row))
+        yield _batch(_POSITION_NAMES, _POSITIONS, zero + 1, spread, zero, texts[0][row], texts[1][row], first, last)
 
 
 def _cuts(batches: Iterator[pa.RecordBatch], keep_text: bool) -> Iterator[pa.RecordBatch]:
@@ -265,7 +292,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", keep_text:
     ``kept_text`` is what is left, decoded; a cut inside a character leaves a replacement mark there.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(_NO_ID)).alias("id"), F.xxhash64(text).alias("tie"), F.col(text).alias("text"))
+    rows = docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(_NO_ID)).alias("id"), F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF)).alias("tie"), F.col(text).alias("text"))
 
     # Ranks 1 and 2. A task has reduced what it holds, so a seed has at most one row per batch and stretch.
     by_seed, by_stretch = Window.partitionBy("seed"), Window.partitionBy("seed", "stretch")
@@ -287,15 +314,16 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", keep_text:
     marked = spark.read.schema(schema).parquet(path)
     open_anchors = marked.where("state = 0").select("id", "tie", "at", "low", "high")
 
-    # Rank 3. Equal rows give equal ranks.
-    halves = _beside(rows, open_anchors.withColumn("sides", F.lit(3)), _half_ranks, _HALVES).distinct()
+    # Rank 3. Equal rows give equal ranks, which changes nothing here.
+    halves = _beside(rows, open_anchors.withColumn("sides", F.lit(3)), _half_ranks, _HALVES)
     seen = halves.groupBy("side", "rank").agg(F.min(_place()).alias("low_place"), F.max(_place()).alias("high_place")).where("low_place < high_place").select("side", "rank")
-    sided = halves.join(seen, ["side", "rank"]).groupBy("id", "tie", "at", "low", "high").agg(F.sum("side").cast("int").alias("sides"))
+    sided = halves.join(seen, ["side", "rank"]).groupBy("id", "tie", "at", "low", "high").agg(F.bit_or("side").cast("int").alias("sides"))
 
     # Rank 4.
-    windows = _beside(rows, sided, _window_ranks, _POSITIONS).distinct()
-    firsts = windows.groupBy("front", "back").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last")).where("first < last").select("front", "back", "first")
-    again = windows.join(firsts, ["front", "back"]).where(later).select("id", "tie", F.col("at").alias("start"), (F.col("at") + LENGTH).alias("end"))
+    by_rank = Window.partitionBy("front", "back").orderBy("id", "start")
+    windows = _beside(rows, sided, _window_ranks, _POSITIONS).repartition("front").sortWithinPartitions("front", "back", "id", "start")
+    windows = windows.withColumn("first", F.first(F.struct("id", "start")).over(by_rank))
+    again = windows.where((F.col("part") == 1) | (F.struct("id", "start") > F.col("first"))).select("id", "tie", "start", "end")
 
     spans = marked.where("state = 1").select("id", "tie", "start", "end").union(again)
     per_text = spans.groupBy("id", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
