@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.llm import decontamination, main_text, mixing, near_duplicates, personal_data, quality_model, quality_rules, repeats, secrets, spans, warc
+from corpusmill.llm import boosted_trees, decontamination, main_text, mixing, near_duplicates, personal_data, quality_model, quality_rules, repeats, secrets, spans, warc
 from corpusmill.llm.components import components
 
 SCHEMA = "doc_id bigint, text string, source string, id string, tie string, row string, quality string, label string, band string, size string"
@@ -129,6 +130,18 @@ def test_personal_data(docs, nothing):
     assert personal_data.redacted(nothing, personal_data.train(nothing)).count() == 0
 
 
+def test_chosen_candidates(spark):
+    """Candidates over the least score are added where they overlap no base span, each generator after the other."""
+    rows = [(i, f"call the office tel: (030) 555-12{i % 90 + 10} or write to me") for i in range(200)] + [(1000 + i, f"a +1 (131) 555-76{i % 90 + 10} b") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    x = np.array([[20, 10, 0, 0, 1, 0, 1, 2, 0, 1, 0, 2, 2, 4], [20, 10, 0, 0, 1, 0, 1, 2, 0, 0, 0, 2, 2, 4]] * 20, dtype=float)
+    model = boosted_trees.fit(x, np.array([1.0, 0.0] * 20))
+    found = personal_data.with_spans(docs, personal_data.Chooser({"number": model, "address": model}, {"number": 0.0, "address": 0.0})).collect()
+    assert all([s["kind"] for s in r["spans"]] == (["number"] if r["row"]["doc_id"] < 1000 else ["phone"]) for r in found)
+    trained = personal_data.train(docs, max_rows=400)
+    assert personal_data.with_spans(docs, trained).count() == 400
+
+
 def test_redaction_of_overlaps(spark):
     one = F.array(*[F.struct(F.lit(a).alias("start"), F.lit(r).alias("rank"), F.lit(b).alias("end"), F.lit(k).alias("kind")) for a, r, b, k in ((2, 0, 6, "ip"), (4, 1, 8, "card"), (8, 1, 9, "card"))])
     assert spark.range(1).select(spans.replaced(F.lit("0123456789é"), one)).first()[0] == "01[IP][CARD]9é"
