@@ -1,6 +1,6 @@
 """Near-duplicate groups by SuperMinHash.
 
-1. One pass over the texts gives each document the size and a 64-bit fingerprint of its shingle set, and the
+1. One pass over the texts gives each document the size, a 64-bit fingerprint and a bitmap of its shingle set, and the
    band keys of its SuperMinHash signature. No set leaves its task.
 2. Documents of equal fingerprint are one *class*; from here on there is one row per class, so a group of exact
    copies of any size is one row.
@@ -8,6 +8,8 @@
    that still holds more than one component checks its members against some leaders, on full sets; what links is
    merged by union-find, the leaders have then met everyone and leave the bucket, and buckets that hold one component are
    finished, since links inside a component change nothing. Small remainders are checked pair by pair.
+   The bits in which two bitmaps differ bound the similarity of the sets from above: pairs that cannot reach the threshold are
+   dropped inside the join, and their texts are never fetched.
    Nothing is capped: a bucket is finished only when each pair of its members was checked or lies in one component.
 
 Two of n different sets share a fingerprint with a probability of about ``n**2 / 2**65``.
@@ -34,8 +36,10 @@ from corpusmill.session import scratch_folder, shared_folder
 
 BANDS = 28
 ROWS = 4
-LEADERS = 8
+LEADERS = 2
+GROWTH = 16  # of the number of leaders from round to round
 SMALL_BUCKET = 16
+_WORDS = 16  # 64-bit words of a bitmap; a power of two
 _CHUNK = 200_000  # elements whose permutations are held at a time
 _NO_ID = -(1 << 63)
 
@@ -76,6 +80,14 @@ def _band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def _bitmaps(elements: np.ndarray, rows: np.ndarray, n_rows: int) -> np.ndarray:
+    """``n_rows`` x ``_WORDS``: for each row the bits that the leading bits of its elements name."""
+    bit = (elements >> bytetext.U64(64 - (64 * _WORDS - 1).bit_length())).astype(np.int64)
+    out = np.zeros(n_rows * _WORDS, dtype=np.uint64)
+    np.bitwise_or.at(out, rows * _WORDS + (bit >> 6), bytetext.U64(1) << (bit & 63).astype(np.uint64))
+    return out.view(np.int64).reshape(n_rows, _WORDS)
+
+
 def _fingerprint(shingles: np.ndarray) -> int | None:
     """64 bits of a digest of the whole set; None for the empty set."""
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True) if len(shingles) else None
@@ -88,6 +100,7 @@ def _sketches(batches: Iterator[pa.RecordBatch], shingle_words: int, bands: int,
             sizes = np.array([len(s) for s in sets], dtype=np.int64)
             prints = [_fingerprint(s) for s in sets]
             keys = np.zeros((block.rows, bands), dtype=np.int64)
+            bits = np.zeros((block.rows, _WORDS), dtype=np.int64)
             at = 0
             while at < block.rows:
                 stop = max(at + 1, int(np.searchsorted(np.cumsum(sizes[at:]), _CHUNK, side="right")) + at)
@@ -95,12 +108,15 @@ def _sketches(batches: Iterator[pa.RecordBatch], shingle_words: int, bands: int,
                 if len(part):
                     owner = np.repeat(np.arange(stop - at), sizes[at:stop])
                     keys[at:stop] = _band_keys(superminhash(part, owner, stop - at, bands * rows), bands, rows)
+                    bits[at:stop] = _bitmaps(part, owner, stop - at)
                 at = stop
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(block.rows + 1, dtype=np.int32) * bands), pa.array(keys.reshape(-1)))
+            lists = [
+                pa.ListArray.from_arrays(pa.array(np.arange(block.rows + 1, dtype=np.int32) * x.shape[1]), pa.array(x.reshape(-1))) for x in (keys, bits)
+            ]
             span = slice(block.first, block.first + block.rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0)[span], batch.column(1)[span], pa.array(sizes), pa.array(prints, type=pa.int64()), lists],
-                names=["id", "tie", "size", "class", "bands"],
+                [batch.column(0)[span], batch.column(1)[span], pa.array(sizes), pa.array(prints, type=pa.int64()), *lists],
+                names=["id", "tie", "size", "class", "bands", "bits"],
             )
 
 
@@ -126,6 +142,15 @@ def _checked(batches: Iterator[pa.RecordBatch], shingle_words: int, threshold: f
             yield pa.RecordBatch.from_arrays([batch.column(1).take(keep), batch.column(2).take(keep)], names=["a", "b"])
 
 
+def _reachable(a_bits: Column, a_size: Column, b_bits: Column, b_size: Column, percent: int) -> Column:
+    """Whether the bitmaps leave room for an intersection that reaches ``percent`` of the union.
+
+    Each bit in which they differ stands for another shingle of only one set, so ``differ`` bounds the symmetric difference from below.
+    """
+    differ = sum(F.bit_count(F.get(a_bits, F.lit(i)).bitwiseXOR(F.get(b_bits, F.lit(i)))) for i in range(_WORDS))
+    return (100 + percent) * differ <= (100 - percent) * (a_size + b_size)
+
+
 def _row_id(column: Column) -> Column:
     return F.coalesce(column.cast("bigint"), F.lit(_NO_ID))
 
@@ -149,19 +174,20 @@ def near_duplicates(
     texts = docs.select(_row_id(F.col(key)).alias("id"), F.xxhash64(text).alias("tie"), F.col(text).alias("text"))
     sketch_path, class_path, text_path = (scratch_folder(spark, f"near-{x}") for x in ("sketches", "classes", "texts"))
     texts.mapInArrow(
-        lambda batches: _sketches(batches, shingle_words, bands, rows), "id bigint, tie bigint, size bigint, class bigint, bands array<bigint>"
+        lambda batches: _sketches(batches, shingle_words, bands, rows),
+        "id bigint, tie bigint, size bigint, class bigint, bands array<bigint>, bits array<bigint>",
     ).write.parquet(sketch_path)
     sketches = spark.read.parquet(sketch_path)
 
-    # Equal classes have equal bands, so any of them serves.
+    # Equal classes have equal bands and bits, so any of them serves.
     sketches.where("class is not null").groupBy("class").agg(
-        F.min(F.struct("id", "tie")).alias("rep"), F.max("size").alias("size"), F.any_value("bands").alias("bands")
+        F.min(F.struct("id", "tie")).alias("rep"), F.max("size").alias("size"), F.any_value("bands").alias("bands"), F.any_value("bits").alias("bits")
     ).write.parquet(class_path)
     classes = spark.read.parquet(class_path)
 
     members = classes.select("class", "size", F.explode("bands").alias("band"))
     shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
-    buckets = members.join(shared, "band").checkpoint()
+    buckets = members.join(shared, "band").join(classes.select("class", "bits"), "class").checkpoint()
 
     # Whole texts of the classes that have any candidate.
     wanted = buckets.select("class").distinct().join(classes.select("class", "rep"), "class").select("class", "rep.id", "rep.tie")
@@ -201,13 +227,14 @@ def _linked(buckets: DataFrame, bodies: DataFrame, shingle_words: int, threshold
         # component: once these have met everyone, one component is left. Later rounds take more leaders, so rounds are few.
         large = left.where(F.col("n") > SMALL_BUCKET)
         most = large.groupBy("band", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("band").agg(F.max_by("label", "c").alias("main"))
-        slot = F.pmod(F.xxhash64("class"), F.lit(LEADERS ** (len(maps) + 1)))
+        slot = F.pmod(F.xxhash64("class"), F.lit(LEADERS * GROWTH ** len(maps)))
         led = large.join(most, "band").where("label != main").groupBy("band", slot.alias("slot")).agg(
-            F.min("class").alias("a"), F.min_by("label", "class").alias("label"), F.min_by("size", "class").alias("size")
+            F.min("class").alias("a"), F.min_by("label", "class").alias("label"), F.min_by("size", "class").alias("size"), F.min_by("bits", "class").alias("bits")
         )
-        leaders = left.where(F.col("n") <= SMALL_BUCKET).select("band", F.col("class").alias("a"), F.col("label").alias("la"), F.col("size").alias("sa"))
-        leaders = leaders.union(led.select("band", "a", "label", "size")).checkpoint()
+        leaders = left.where(F.col("n") <= SMALL_BUCKET).select("band", F.col("class").alias("a"), F.col("label").alias("la"), F.col("size").alias("sa"), F.col("bits").alias("ba"))
+        leaders = leaders.union(led.select("band", "a", "label", "size", "bits")).checkpoint()
         near = (100 * F.least("sa", "size") >= percent * F.greatest("sa", "size")) & (F.col("la") != F.col("label"))
+        near = near & _reachable(F.col("ba"), F.col("sa"), F.col("bits"), F.col("size"), percent)
         either = F.when(F.col("n") <= SMALL_BUCKET, F.col("a") < F.col("class")).otherwise(F.col("a") != F.col("class"))
         pairs = left.join(leaders, "band").where(near & either)
         low = F.col("a") < F.col("class")
@@ -223,7 +250,7 @@ def _linked(buckets: DataFrame, bodies: DataFrame, shingle_words: int, threshold
         merged = components(links)
         maps.append(merged)
         rest = left.where(F.col("n") > SMALL_BUCKET).join(leaders.select("band", F.col("a").alias("class")), ["band", "class"], "left_anti")
-        left = _relabelled(rest.select("band", "class", "size", "label"), "label", merged)
+        left = _relabelled(rest.select("band", "class", "size", "bits", "label"), "label", merged)
 
 
 def _relabelled(rows: DataFrame, name: str, merged: DataFrame) -> DataFrame:
