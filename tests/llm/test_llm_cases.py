@@ -203,3 +203,23 @@ def test_warc(spark, workdir, range_bytes):
     assert {r["payload"].decode() for r in found if r["payload"]} == {"same", inner, "é" * 40_000}
     warc.write_archives(pages.limit(0), f"{workdir}/none")
     assert warc.read_archives(spark, f"{workdir}/none").count() == 0
+
+
+def test_bitmaps_never_drop_a_similar_pair(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for size in (1, 3, 40, 400, 5000):
+        for swapped in (0.0, 0.05, 0.11, 0.2, 0.5):
+            a = np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))
+            b = a.copy()
+            n = round(size * swapped)
+            b[:n] = rng.integers(0, 1 << 64, n, dtype=np.uint64)
+            bits = [near_duplicates._bitmaps(x, np.zeros(len(x), dtype=np.int64), 1)[0].tolist() for x in (a, np.unique(b))]
+            both = len(np.intersect1d(a, b))
+            similar = 100 * both >= 80 * (len(a) + len(np.unique(b)) - both)
+            rows.append((bits[0], len(a), bits[1], len(np.unique(b)), similar, size <= 400 and swapped == 0.5 and size > 3))
+    pairs = spark.createDataFrame(rows, "x array<bigint>, m bigint, y array<bigint>, n bigint, similar boolean, far boolean")
+    passes = near_duplicates._reachable(F.col("x"), F.col("m"), F.col("y"), F.col("n"), 80)
+    got = pairs.select(passes.alias("passes"), "similar", "far").collect()
+    assert all(r["passes"] for r in got if r["similar"])
+    assert not any(r["passes"] for r in got if r["far"])
