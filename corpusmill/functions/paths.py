@@ -12,7 +12,7 @@ IMAGE_EXTENSIONS = (".jpg", ".jpeg", ".png", ".webp", ".bmp", ".tiff")
 RUN_NAME = "training_{date}_run_{number}"
 RUN_DATE_FORMAT = "MM_dd_yyyy"
 SHARD_NAME = "shard_%05d"
-SHARD_NUMBER = r"shard_(\d{5})\.pt$"
+SHARD_NUMBER = r"shard_(\d{5,})\.pt$"
 
 _EXTENSION = r"[^/](\.[^./]+)$"
 _WITHOUT_EXTENSION = r"(?s)^(.*[^/])\.[^./]+$"

@@ -40,6 +40,7 @@ def test_numbers(spark):
     assert one(spark, paths.zero_fill(F.lit("1234567"))) == "1234567"
     assert one(spark, paths.number_in(F.lit("shard_00042.pt"), paths.SHARD_NUMBER)) == 42
     assert one(spark, paths.shard_number(F.lit("shard_42.pt"))) is None
+    assert one(spark, paths.shard_number(F.lit("shard_100000.pt"))) == 100_000
 
 
 def test_uri_parts(spark):

@@ -114,6 +114,11 @@ def test_next_archives(spark):
     assert [r.id for r in resume.next_archives(done.limit(0), 2, "gaps").orderBy("id").collect()] == [0, 1]
 
 
+def test_next_shard_beyond_five_digits(spark):
+    names = spark.createDataFrame([("shard_99999.pt",), ("shard_100000.pt",), ("shard_7.pt",)], "name string")
+    assert resume.next_shard(names, F.col("name")).first()["next"] == 100_001
+
+
 def test_next_run_name(spark):
     names = spark.createDataFrame([("training_01_02_2024_run_01",), ("training_01_02_2024_run_12",), ("other",)], "name string")
     assert resume.next_run_name(names, datetime.date(2024, 1, 2)) == "training_01_02_2024_run_13"
