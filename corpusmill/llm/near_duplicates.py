@@ -185,17 +185,19 @@ def near_duplicates(
     ).write.parquet(class_path)
     classes = spark.read.parquet(class_path)
 
-    members = classes.select("class", "size", F.explode("bands").alias("band"))
+    # One row per class with the band keys it shares; a class has at most ``bands`` of them.
+    members = classes.select("class", F.explode("bands").alias("band"))
     shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
-    buckets = members.join(shared, "band").join(classes.select("class", "bits"), "class").checkpoint()
+    common = members.join(shared, "band").groupBy("class").agg(F.collect_list("band").alias("bands"))
+    candidates = common.join(classes.select("class", "rep", "size", "bits"), "class").checkpoint()
 
     # Whole texts of the classes that have any candidate.
-    wanted = buckets.select("class").distinct().join(classes.select("class", "rep"), "class").select("class", "rep.id", "rep.tie")
+    wanted = candidates.select("class", "rep.id", "rep.tie")
     texts.join(wanted, ["id", "tie"]).select("class", "text").dropDuplicates(["class"]).write.parquet(text_path)
     bodies = spark.read.parquet(text_path)
 
     grouped = classes.select("class", "rep", F.col("class").alias("group"))
-    for merged in _linked(buckets, bodies, shingle_words, threshold):
+    for merged in _linked(candidates.drop("rep"), bodies, shingle_words, threshold):
         grouped = _relabelled(grouped, "group", merged)
     ids = sketches.where("class is not null").groupBy("class").agg(F.min(F.when(F.col("id") != _NO_ID, F.col("id"))).alias("least"))
     grouped = grouped.join(ids, "class").checkpoint()
@@ -211,16 +213,20 @@ def near_duplicates(
     return out.select(own.alias("id"), "tie", "n_shingles", F.when(alone, own).otherwise(F.col("component_id")).alias("component_id"), first.alias("first"), "class")
 
 
-def _linked(buckets: DataFrame, bodies: DataFrame, shingle_words: int, threshold: float) -> list[DataFrame]:
-    """Maps ``node, component`` to apply one after the other to a class to get its component; nodes not in a map stay."""
+def _linked(candidates: DataFrame, bodies: DataFrame, shingle_words: int, threshold: float) -> list[DataFrame]:
+    """Maps ``node, component`` to apply one after the other to a class to get its component; nodes not in a map stay.
+
+    ``candidates``: ``class, bands, size, bits``, one row per class. Labels are kept per class; only members of buckets are one row per band.
+    """
     percent = round(threshold * 100)
     maps: list[DataFrame] = []
-    left = buckets.withColumn("label", F.col("class"))
+    open_classes = candidates.withColumn("label", F.col("class"))
     while True:
-        state = left.groupBy("band").agg(
+        members = open_classes.select("class", "size", "bits", "label", F.explode("bands").alias("band"))
+        state = members.groupBy("band").agg(
             F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"),
         ).where("low != high").select("band", "n")
-        left = left.join(state, "band").checkpoint()
+        left = members.join(state, "band").checkpoint()
         if left.isEmpty():
             return maps
         # In a small bucket everyone leads. A large one gets a few leaders by one aggregate, of those outside its largest
@@ -249,8 +255,12 @@ def _linked(buckets: DataFrame, bodies: DataFrame, shingle_words: int, threshold
         )
         merged = components(links)
         maps.append(merged)
-        rest = left.where(F.col("n") > SMALL_BUCKET).join(leaders.select("band", F.col("a").alias("class")), ["band", "class"], "left_anti")
-        left = _relabelled(rest.select("band", "class", "size", "bits", "label"), "label", merged)
+        # What a class still has to meet: its large buckets but those it led.
+        marks = large.select("class", "band", F.lit(False).alias("led")).union(led.select(F.col("a").alias("class"), "band", F.lit(True).alias("led")))
+        rest = marks.groupBy("class").agg(
+            F.array_except(F.collect_list(F.when(~F.col("led"), F.col("band"))), F.collect_list(F.when(F.col("led"), F.col("band")))).alias("bands")
+        ).where(F.size("bands") > 0)
+        open_classes = _relabelled(rest.join(open_classes.drop("bands"), "class"), "label", merged).checkpoint()
 
 
 def _relabelled(rows: DataFrame, name: str, merged: DataFrame) -> DataFrame:
