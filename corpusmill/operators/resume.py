@@ -66,6 +66,24 @@ def next_archives(done: DataFrame, count: int, mode: str = "max", key: str = "id
     return found.select("id", paths.zero_pad(F.col("id")).alias("archive"))
 
 
+def next_listed(listed: DataFrame, done: DataFrame, count: int, mode: str = "max", key: str = "id") -> DataFrame:
+    """Rows of ``listed`` that hold the next ``count`` ids not done yet, whatever holes the numbers have.
+
+    ``max`` takes ids above the largest finished one; ``gaps`` takes any that is not finished. Rows that
+    share an id come together; a NULL id is never taken.
+    """
+    if mode not in ("max", "gaps"):
+        raise ValueError("mode must be max or gaps")
+    finished = done.select(F.col(key).cast("bigint").alias("_id")).distinct()
+    ids = listed.select(F.col(key).cast("bigint").alias("_id")).filter(F.col("_id").isNotNull()).distinct()
+    if mode == "max":
+        ids = ids.filter(F.col("_id") > F.coalesce(finished.agg(F.max("_id")).scalar(), F.lit(-1).cast("bigint")))
+    else:
+        ids = ids.join(finished, "_id", "left_anti")
+    wanted = ids.orderBy("_id").limit(count)
+    return listed.join(F.broadcast(wanted), F.col(key) == F.col("_id")).drop("_id")
+
+
 def next_runs(names: DataFrame) -> DataFrame:
     """Per day tag: the next run name."""
     pattern = paths.run_number_pattern()

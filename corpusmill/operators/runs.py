@@ -21,19 +21,20 @@ def shard_coverage(
 ) -> DataFrame:
     """The most frequent shards: ``shard, n, percent, hidden`` (how many shards are not listed).
 
-    Equal counts stand in first-seen order. The counts are stored, so that the log is read once for
-    the list and its totals.
+    Rows without a shard are left out. Equal counts stand in first-seen order, then by name. The counts
+    are stored, so that the log is read once for the list and its totals.
     """
     shared_folder(log.sparkSession)
     counts = (
-        log.groupBy(F.col(shard).alias("shard"))
+        log.filter(F.col(shard).isNotNull())
+        .groupBy(F.col(shard).alias("shard"))
         .agg(F.count("*").alias("n"), F.min(order).alias("_first"))
         .checkpoint()
     )
     total = counts.agg(F.sum("n")).scalar()
     shards = counts.agg(F.count("*")).scalar()
     return (
-        counts.orderBy(F.desc("n"), "_first")
+        counts.orderBy(F.desc("n"), "_first", "shard")
         .limit(topk)
         .select(
             "shard",

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import paths, rules
@@ -69,27 +70,28 @@ def ingest_archives(archives: DataFrame, settings: IngestSettings) -> DataFrame:
     return curation.reason_counts(judged, "path", include_ok=True)
 
 
+def _dataset_id(settings: IngestSettings) -> Column:
+    return paths.number_in(F.col("dataset"), rf"^{re.escape(settings.prefix)}(\d+)$")
+
+
 def finished_archives(spark: SparkSession, settings: IngestSettings) -> DataFrame:
     """Ids of the archives that have a manifest."""
-    number = paths.number_in(F.col("dataset"), rf"^{settings.prefix}(\d+)$")
-    return store.listed_datasets(spark, settings.root).select(number.alias("id")).filter(F.col("id").isNotNull())
+    return store.listed_datasets(spark, settings.root).select(_dataset_id(settings).alias("id")).filter(F.col("id").isNotNull())
 
 
 def ingest_next(
     spark: SparkSession, archive_dir: str, settings: IngestSettings, count: int = COUNT, mode: str = "max"
 ) -> DataFrame:
-    """Ingest the next ``count`` archives by id; ids that are not there are skipped.
+    """Ingest the archives of the next ``count`` ids there are; archives that share an id share its dataset.
 
     Returns ``archive_id, n, bytes`` of what is stored for them.
     """
-    wanted = resume.next_archives(finished_archives(spark, settings), count, mode).select("id")
-    there = tar.list_archives(spark, archive_dir).join(F.broadcast(wanted), "id")
-    # At most ``count`` rows.
-    found = {row["id"]: row["archive"] for row in there.collect()}
+    listed = tar.list_archives(spark, archive_dir)
+    # One row per archive of at most ``count`` ids.
+    found = resume.next_listed(listed, finished_archives(spark, settings), count, mode).select("id", "archive").collect()
     if not found:
         return spark.createDataFrame([], "archive_id bigint, n bigint, bytes bigint")
-    ingest_archives(spark.createDataFrame([(a,) for a in found.values()], "archive string"), settings)
-    number = paths.number_in(F.col("dataset"), rf"^{settings.prefix}(\d+)$")
-    stored = store.read_shards(spark, settings.root, [f"{settings.prefix}{i:05d}" for i in found])
-    sizes = stored.select(number.alias("archive_id"), (F.size("latent") * 4).cast("bigint").alias("bytes"))
+    ingest_archives(spark.createDataFrame([(row["archive"],) for row in found], "archive string"), settings)
+    stored = store.read_shards(spark, settings.root, sorted({f"{settings.prefix}{row['id']:05d}" for row in found}))
+    sizes = stored.select(_dataset_id(settings).alias("archive_id"), (F.size("latent") * 4).cast("bigint").alias("bytes"))
     return curation.dataset_bytes(sizes, "archive_id", "bytes")

@@ -287,6 +287,16 @@ def test_ingest_next(spark, workdir):
     assert {r.caption for r in manifest.filter("dataset = 'set_00001'").collect()} == {"caption 0 é", "caption 3 é", "caption 4 é", "caption 5 é"}
 
 
+def test_ingest_next_passes_holes_and_shared_numbers(spark, workdir):
+    for name in ("00042", "00100", "other/00100"):
+        fx.archive(f"{workdir}/tars/{name}.tar", 10)
+    config = settings(f"{workdir}/store")
+    run = lambda mode: [(r.archive_id, r.n) for r in ingest.ingest_next(spark, f"{workdir}/tars", config, 1, mode).collect()]
+    assert run("max") == [(42, 4)]
+    assert run("gaps") == [(100, 8)]
+    assert run("max") == run("gaps") == []
+
+
 def test_archive_stream(spark, workdir):
     config, check, done = settings(f"{workdir}/store"), f"{workdir}/check", f"{workdir}/done"
     for i in range(2):

@@ -260,6 +260,12 @@ def test_shard_coverage_ties(spark):
     assert [(r.shard, r.n, r.percent, r.hidden) for r in rows] == [("b", 2, 40.0, 1), ("a", 2, 40.0, 1)]
 
 
+def test_shard_coverage_leaves_out_lines_without_shard(spark):
+    log = spark.createDataFrame([(1, None), (1, "b"), (1, "a"), (2, None), (2, None)], "step int, shard string")
+    rows = runs.shard_coverage(log).collect()
+    assert [(r.shard, r.n, r.percent, r.hidden) for r in rows] == [("a", 1, 50.0, 0), ("b", 1, 50.0, 0)]
+
+
 @pytest.mark.parametrize("budget", [0, 9, 10, 25, 1000])
 def test_retention_against_a_cache(spark, budget):
     sizes = [5, 10, 3, 7, 1, 30, 2]
