@@ -3,8 +3,8 @@
 The base finds assignments, access keys and long hexadecimal strings. The method adds tokens that look drawn at random: the
 log-likelihood ratio of a model of random strings and one of ordinary identifiers, summed over the token's pairs of characters.
 Both models are counts of character pairs. Random strings are generated by hashing numbers (hexadecimal, base64 and upper-case
-alphabets, ``RANDOM_ROWS`` of each); ordinary identifiers are words and joined words of at most ``MAX_DOCS`` documents (those with the least
-hash of the id). The table of ratios has one number per pair of printable ASCII characters and becomes a literal of the projection.
+alphabets, ``RANDOM_ROWS`` of each); ordinary identifiers are words and joined words of all documents, whose pairs are counted where they
+are read, so at most two numbers per pair leave a task. The table of ratios has one number per pair of printable ASCII characters and becomes a literal of the projection.
 
 Defined results: NULL and empty texts have no spans. Repeated rows are scanned alike. A corpus without identifiers still has a model, by smoothing.
 """
@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from corpusmill.llm import spans
 from corpusmill.llm.native import let, matches
 
-MAX_DOCS = 20_000
 RANDOM_ROWS = 5_000
 KINDS = ("assign", "access", "hex")
 LEAST_CHARS = 16
@@ -61,12 +60,10 @@ def _random_strings(spark: SparkSession, rows: int) -> DataFrame:
     return spark.range(rows).select(F.lit(1).alias("label"), F.explode(F.array(F.substring(digest, 1, 40), packed, upper)).alias("s"))
 
 
-def train(docs: DataFrame, key: str = "doc_id", text: str = "text", max_docs: int = MAX_DOCS, random_rows: int = RANDOM_ROWS) -> list[float]:
+def train(docs: DataFrame, text: str = "text", random_rows: int = RANDOM_ROWS) -> list[float]:
     """Log-likelihood ratio of each pair of printable characters, row by row."""
-    ids = docs.select(F.col(key).alias("_id")).where("_id is not null").distinct()
-    ids = ids.orderBy(F.xxhash64("_id"), "_id").limit(max_docs)
-    sample = docs.select(F.col(key).alias("_id"), F.col(text).alias("t")).join(F.broadcast(ids), "_id")
-    ordinary = sample.select(F.lit(0).alias("label"), F.explode(F.regexp_extract_all("t", F.lit(IDENTIFIER), F.lit(0))).alias("s")).where(F.length("s") >= 6)
+    words = F.explode(F.regexp_extract_all(F.col(text), F.lit(IDENTIFIER), F.lit(0)))
+    ordinary = docs.select(F.lit(0).alias("label"), words.alias("s")).where(F.length("s") >= 6)
     counts = _pairs(ordinary.union(_random_strings(docs.sparkSession, random_rows))).collect()  # at most two numbers per pair
     table = [[[0.5] * _SIZE for _ in range(_SIZE)] for _ in range(2)]
     for label, pair, n in counts:

@@ -157,6 +157,14 @@ def test_secrets(spark, sf_dir, nothing):
     assert found == {1: ["random"], 2: [], 3: ["assign"], 4: [], 5: ["hex"]}
 
 
+def test_secrets_count_all_documents(spark):
+    """Pairs of identifiers are counted in every document, however many there are and whatever their ids."""
+    docs = spark.range(30_000).selectExpr("nullif(id, 7) as doc_id", "'zqzqzq' as text")
+    ratios = secrets.train(docs, random_rows=0)
+    n, at = 3 * 30_000 + 0.5, (ord("z") - 33) * 94 + ord("q") - 33
+    assert ratios[at] == pytest.approx(np.log(0.5) - np.log(47) - np.log(n) + np.log(n + 46.5), abs=1e-9)
+
+
 def test_quality_model(spark, docs, nothing):
     labels = spark.createDataFrame([(1, 1, 0), (None, 1, 0), (6, 0, 0), (77, 0, 0), (2, None, 0)], "doc_id bigint, quality int, toxic int")
     model = quality_model.train(docs, labels)
