@@ -142,6 +142,21 @@ def test_chosen_candidates(spark):
     assert personal_data.with_spans(docs, trained).count() == 400
 
 
+def _account(i):
+    """A valid account number."""
+    body = f"{370400440532000000 + 7919 * i}"
+    return f"DE{98 - int(body + '131400') % 97:02d}{body}"
+
+
+def test_valid_accounts_are_always_added(spark):
+    """However few there are, and beside a base span too; rare candidates have a sample of their own."""
+    few = spark.createDataFrame([(1, f"pay {_account(1)} now"), (None, f"pay {_account(2)} now"), (3, "pay GB29 NWBK 6016 1331 9268 19 now"), (4, "pay DE00370400440532000000 now")], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["text"] for r in personal_data.redacted(few, personal_data.train(few)).collect()}
+    assert got == {1: "pay [ACCOUNT] now", None: "pay [ACCOUNT] now", 3: "pay [ACCOUNT] now", 4: "pay DE00370400440532000000 now"}
+    many = spark.createDataFrame([(i, f"order {1000000 + i} is done") for i in range(3000)] + [(5000 + i, f"pay {_account(i)} now") for i in range(300)], "doc_id bigint, text string")
+    assert "account" in personal_data.train(many, max_rows=300).models
+
+
 def test_redaction_of_overlaps(spark):
     one = F.array(*[F.struct(F.lit(a).alias("start"), F.lit(r).alias("rank"), F.lit(b).alias("end"), F.lit(k).alias("kind")) for a, r, b, k in ((2, 0, 6, "ip"), (4, 1, 8, "card"), (8, 1, 9, "card"))])
     assert spark.range(1).select(spans.replaced(F.lit("0123456789é"), one)).first()[0] == "01[IP][CARD]9é"
