@@ -157,6 +157,20 @@ def test_valid_accounts_are_always_added(spark):
     assert "account" in personal_data.train(many, max_rows=300).models
 
 
+def test_candidates_outside_base_spans(spark):
+    """Written-out addresses are confirmed by normalising, numbers learned from their context, beside base spans that are not."""
+    texts = {
+        1: ("mail jane [at] example [dot] com. We wait", "mail [ADDRESS]. We wait"), 2: ("mail jane at example dot com", "mail [ADDRESS]"),
+        3: ("mail jane @ mail.example.com or a@b.co", "mail [ADDRESS] or [EMAIL]"), 4: ("look at home. He has 3 apples @ 1.50 (at) a.b", "look at home. He has 3 apples @ 1.50 (at) a.b"),
+    }
+    rows = [(i, a) for i, (a, _) in texts.items()] + [(100 + i, f"tel: (030) 555-12{i % 90 + 10} or") for i in range(300)]
+    rows += [(1000 + i, f"a +1 (131) 555-76{i % 90 + 10} b") for i in range(300)] + [(2000 + i, f"invoice {100000000000 + 9973 * i} b") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["text"] for r in personal_data.redacted(docs, personal_data.train(docs)).collect()}
+    assert {i: got[i] for i in texts} == {i: b for i, (_, b) in texts.items()}
+    assert all(got[100 + i] == "tel: [NUMBER] or" and got[1000 + i] == "a [PHONE] b" and "[NUMBER]" not in got[2000 + i] for i in range(300))
+
+
 def test_redaction_of_overlaps(spark):
     one = F.array(*[F.struct(F.lit(a).alias("start"), F.lit(r).alias("rank"), F.lit(b).alias("end"), F.lit(k).alias("kind")) for a, r, b, k in ((2, 0, 6, "ip"), (4, 1, 8, "card"), (8, 1, 9, "card"))])
     assert spark.range(1).select(spans.replaced(F.lit("0123456789é"), one)).first()[0] == "01[IP][CARD]9é"
