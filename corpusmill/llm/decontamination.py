@@ -2,7 +2,7 @@
 
 The benchmark's windows of ``words`` normalised words are hashed into a set. It is broadcast when it has at most
 ``MAX_WINDOWS`` windows (one row of 8 bytes of hash and the window's words each), which is counted first; a larger set is joined by hash
-instead, with the same result. Each task scans its texts in blocks: all window hashes at once, a filter of one bit per hash
+instead, with the same result; the texts then go through the join once, to place the spans. Each task scans its texts in blocks: all window hashes at once, a filter of one bit per hash
 slot, the set, and then a comparison of the words themselves, so a hit is never a chance of the hash.
 
 An item of fewer than ``words`` words, but not none, is one window of its own length.
@@ -84,6 +84,19 @@ def _places(block: bytetext.Block, words: bytetext.Words, grams: _Set) -> Iterat
                 yield int(i), n, gram
 
 
+def _spans(block: bytetext.Block, words: bytetext.Words, hit: np.ndarray) -> dict[int, list[list[int]]]:
+    """Byte spans of the runs of hit words, by row of a block."""
+    spans = defaultdict(list)
+    for i in np.flatnonzero(hit):
+        row = int(words.row[i])
+        a, b = int(words.start[i] - block.bounds[row]), int(words.end[i] - block.bounds[row])
+        if spans[row] and i and hit[i - 1] and words.row[i - 1] == row:
+            spans[row][-1][1] = b
+        else:
+            spans[row].append([a, b])
+    return spans
+
+
 def _scan(batches: Iterator[pa.RecordBatch], shared, kind: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Adds number of words, hit words, items and the byte spans of hit runs to each row. The text is the last column."""
     grams = _Set(shared.value)
@@ -98,14 +111,7 @@ def _scan(batches: Iterator[pa.RecordBatch], shared, kind: pa.Schema) -> Iterato
                 covered[i + n] -= 1
                 items[int(words.row[i])].update(x for x in grams.items[gram] if x is not None)
             hit = np.cumsum(covered[:-1]) > 0
-            spans = defaultdict(list)
-            for i in np.flatnonzero(hit):
-                row = int(words.row[i])
-                a, b = int(words.start[i] - block.bounds[row]), int(words.end[i] - block.bounds[row])
-                if spans[row] and i and hit[i - 1] and words.row[i - 1] == row:
-                    spans[row][-1][1] = b
-                else:
-                    spans[row].append([a, b])
+            spans = _spans(block, words, hit)
             n_hit = np.add.reduceat(np.append(hit, False).astype(np.int64), first[:-1]) if block.rows else np.zeros(0, dtype=np.int64)
             n_hit[first[:-1] == first[1:]] = 0
             part = batch.slice(block.first, block.rows)
@@ -121,6 +127,21 @@ def _scan(batches: Iterator[pa.RecordBatch], shared, kind: pa.Schema) -> Iterato
             )
 
 
+def _placed(batches: Iterator[pa.RecordBatch], kind: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Replaces the numbers of the hit words and the text, the last two columns, by the byte spans of hit runs."""
+    for batch in batches:
+        for block in bytetext.blocks(batch.column(batch.num_columns - 1)):
+            words = bytetext.words(block, bytetext.ALPHANUMERIC)
+            part = batch.slice(block.first, block.rows)
+            hit = np.zeros(len(words.row), dtype=bool)
+            for row, found in enumerate(part.column(part.num_columns - 2).to_pylist()):
+                if found:
+                    hit[np.searchsorted(words.row, row) + np.array(found)] = True
+            spans = _spans(block, words, hit)
+            added = pa.array([spans.get(i, ()) for i in range(block.rows)], type=pa.list_(pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays([*part.columns[:-2], added], schema=kind)
+
+
 _ADDED = [("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(pa.list_(pa.int64())))]
 _ADDED_DDL = "n_words bigint, n_hit bigint, items array<string>, spans array<array<bigint>>"
 
@@ -149,7 +170,7 @@ def hits(
 def _joined_hits(rows: DataFrame, windows: DataFrame, words: int) -> DataFrame:
     """The same by joins, for benchmarks too large to send to every task. Only rows with a hit are grouped."""
     lengths = [r["n"] for r in windows.select("n").distinct().collect()]  # at most ``words`` numbers
-    docs = rows.withColumn("w", normalised(F.col("text"))).drop("text")
+    docs = rows.withColumn("w", normalised(F.col("text")))
     runs = None
     for n in lengths:
         at = docs.where(F.size("w") >= n).select("id", "tie", "w", F.explode(F.sequence(F.lit(1), F.size("w") - n + 1)).alias("i"))
@@ -157,13 +178,15 @@ def _joined_hits(rows: DataFrame, windows: DataFrame, words: int) -> DataFrame:
         runs = part if runs is None else runs.union(part)
     found = runs.distinct().join(windows.select("gram", "n", "items"), ["gram", "n"])
     hit = found.select("id", "tie", F.explode(F.sequence(F.col("i"), F.col("i") + F.col("n") - 1)).alias("j")).distinct()
-    counts = hit.groupBy("id", "tie").agg(F.count(F.lit(1)).alias("h"))
+    counts = hit.groupBy("id", "tie").agg(F.count(F.lit(1)).alias("h"), F.collect_list(F.col("j").cast("bigint")).alias("hit"))
     names = found.select("id", "tie", F.explode("items").alias("item")).groupBy("id", "tie").agg(F.sort_array(F.collect_set("item")).alias("names"))
     got = _null_safe(counts, names)
-    sized = docs.select("id", "tie", F.size("w").cast("bigint").alias("n_words"))
+    sized = docs.select("id", "tie", F.size("w").cast("bigint").alias("n_words"), "text")
     out = _null_safe(sized, got)
     empty = F.array().cast("array<string>")
-    return out.select("id", "tie", "n_words", F.coalesce("h", F.lit(0)).cast("bigint").alias("n_hit"), F.coalesce("names", empty).alias("items"), F.lit(None).cast("array<array<bigint>>").alias("spans"))
+    counted = out.select("id", "tie", "n_words", F.coalesce("h", F.lit(0)).cast("bigint").alias("n_hit"), F.coalesce("names", empty).alias("items"), "hit", "text")
+    kind = pa.schema([("id", pa.int64()), ("tie", pa.int64()), *_ADDED])
+    return counted.mapInArrow(lambda batches: _placed(batches, kind), f"id bigint, tie bigint, {_ADDED_DDL}")
 
 
 def _null_safe(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -179,7 +202,7 @@ def cleaned(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: st
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with the runs of hit words cut out of the text, columns unchanged. Needs the broadcast form."""
+    """``docs`` with the runs of hit words cut out of the text, columns unchanged."""
     found = hits(docs, benchmark, key, text, **options).where("n_hit > 0").select(F.col("id").alias("_id"), F.col("tie").alias("_tie"), "spans")
     found = found.dropDuplicates(["_id", "_tie"])
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).cast("bigint").alias("id"), F.xxhash64(text).alias("tie"))

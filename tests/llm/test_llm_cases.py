@@ -119,6 +119,18 @@ def test_decontamination(spark, docs, nothing):
     assert decontamination.hits(nothing, items).count() == 0
 
 
+def test_spans_of_the_joined_form(spark, docs, nothing):
+    """Large benchmarks cut the same bytes as small ones."""
+    items = spark.createDataFrame([(1, " ".join(PROSE.split()[20:32])), (2, "Mail A"), (3, "élan vital"), (None, "b.co")], "item_id bigint, text string")
+    more = docs.select("doc_id", "text").union(spark.createDataFrame([(20, "né, Élan (élan) vital! élan vital été"), (21, None), (None, "élan-vital")], "doc_id bigint, text string"))
+    ordered = lambda rows: sorted(map(str, rows.collect()))
+    assert ordered(decontamination.hits(more, items, max_windows=0)) == ordered(decontamination.hits(more, items))
+    cut = decontamination.without_spans(more, items, max_windows=0)
+    assert ordered(cut) == ordered(decontamination.without_spans(more, items))
+    assert "élan vital" not in "".join(r["text"] or "" for r in cut.collect())
+    assert decontamination.without_spans(nothing, items, max_windows=0).count() == 0
+
+
 def test_personal_data(docs, nothing):
     chooser = personal_data.train(docs)
     found = {r["row"]["doc_id"]: r for r in personal_data.with_spans(docs, chooser).collect()}
