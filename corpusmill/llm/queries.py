@@ -6,7 +6,7 @@ from importlib import import_module
 
 from corpusmill.llm.registry import ORACLE, QUERIES
 
-for _n in range(1, 11):
+for _n in range(1, 14):
     import_module(f"corpusmill.llm.op{_n}")
 
 __all__ = ["ORACLE", "QUERIES"]
