@@ -33,8 +33,8 @@ from corpusmill.session import scratch_folder, shared_folder
 
 REACH = 3
 SEED = 42
-CELL = 4096
-SAMPLES = 32
+CELL = 16_384
+SAMPLES = 128
 MAX_CELLS = 1024
 BLOCK = 200_000
 _PART = 1 << 16
