@@ -37,6 +37,7 @@ CELL = 16_384
 SAMPLES = 128
 MAX_CELLS = 1024
 BLOCK = 200_000
+SHARE = 1000
 _PART = 1 << 16
 _LOWER = bytes(bytetext.LOWER)
 
@@ -125,7 +126,7 @@ def similar_groups(
     texts = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
     texts.mapInArrow(lambda batches: _prints(batches, shingle_words), "id bigint, print bigint").write.parquet(path)
     prints = spark.read.parquet(path)
-    classes = prints.groupBy("print").agg(F.min("id").alias("least")).checkpoint()
+    classes = prints.groupBy("print").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")).checkpoint()
 
     merged = components(links(classes, reach, cell, block))
     groups = classes.join(merged, F.col("print") == F.col("node"))
@@ -133,8 +134,12 @@ def similar_groups(
     named = groups.select("print", "component").join(best, "component").select("print", "component_id")
     # Classes without a link are their own component.
     own = classes.join(named.select(F.col("print").alias("_print"), "component_id"), F.col("print") == F.col("_print"), "left")
-    result = own.select("print", F.when(F.col("_print").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"))
-    return prints.join(result, "print").select("id", "print", "component_id")
+    result = own.select("print", "n", F.when(F.col("_print").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id")).checkpoint()
+    # Classes that hold a share of 1 / SHARE of all rows or more, so at most SHARE of them, are sent to the rows instead of dealt with them.
+    total = result.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    large = F.broadcast(result.where(F.col("n") * SHARE >= total).select("print", "component_id"))
+    rest = prints.join(large.select("print"), "print", "left_anti").join(result, "print")
+    return prints.join(large, "print").select("id", "print", "component_id").union(rest.select("id", "print", "component_id"))
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
