@@ -172,6 +172,21 @@ def listed_datasets(spark: SparkSession, root: str) -> DataFrame:
     return files.select(F.regexp_extract("path", "/dataset=([^/]+)/", 1).alias("dataset")).distinct()
 
 
+def dataset_sizes(spark: SparkSession, root: str, datasets: Sequence[str]) -> DataFrame:
+    """``dataset, bytes``: stored file sizes of the given datasets, from their listing alone."""
+    folders = [f"{shard_folder(root)}/dataset={name}" for name in datasets]
+    sizes = spark.createDataFrame([], "dataset string, bytes bigint")
+    for name, folder in zip(datasets, folders):
+        try:
+            files = list_files(spark, folder)
+        except AnalysisException as error:
+            if not _is_missing(error):
+                raise
+            continue
+        sizes = sizes.union(files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).select(F.lit(name), "bytes"))
+    return sizes
+
+
 def unlisted_samples(spark: SparkSession, root: str, datasets: Sequence[str] | None = None) -> DataFrame:
     """Stored samples that no manifest record names (a run stopped between the two writes)."""
     listed = stored_manifest(spark, root, datasets).select("dataset", "path")

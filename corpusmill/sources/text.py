@@ -171,6 +171,21 @@ def append_loss(losses: DataFrame, path: str) -> None:
     losses.select("step", "loss").write.mode("append").csv(path, header=True)
 
 
-def mark_done(archives: DataFrame, path: str) -> None:
-    """Append finished archive ids to the table of processed ones."""
-    archives.select(F.col("archive_id").cast("bigint").alias("archive_id")).write.mode("append").parquet(path)
+def mark_done(archives: DataFrame, path: str, batch: str) -> None:
+    """Store the finished archives of one batch: ``archive_id, archive``.
+
+    Each batch is a folder that is overwritten as a whole, so a batch that is run again counts once.
+    """
+    rows = archives.select(F.col("archive_id").cast("bigint").alias("archive_id"), "archive").distinct()
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch}")
+
+
+def read_done(spark: SparkSession, path: str) -> DataFrame:
+    """``archive_id, archive`` of all finished archives; no rows when nothing is stored yet."""
+    schema = "archive_id bigint, archive string"
+    try:
+        return spark.read.schema(f"{schema}, batch string").parquet(path).select("archive_id", "archive").distinct()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

@@ -6,6 +6,7 @@ failure overwrites its own output, so every input counts once.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.plans.ingest import IngestSettings, ingest_archives
+from corpusmill.sources.archives import archive_id
 from corpusmill.sources.text import mark_done
 
 Process = Callable[[DataFrame], DataFrame]
@@ -54,18 +56,18 @@ def ingest_archive_stream(
 ) -> None:
     """Ingest the archives that have arrived in a folder since the last run.
 
-    Only their paths go through the stream; contents are read by byte range. Ids are appended to the
-    table ``done`` when given; the stream's own checkpoint is what counts.
+    Only their paths and lengths go through the stream; contents are read by byte range. Finished archives are stored in the
+    table ``done`` when given, one folder per batch of this checkpoint, so a batch that is run again after a failure leaves the same
+    rows. The stream's own checkpoint is what counts.
     """
     arrived = file_stream(
         spark, archive_dir, ARCHIVE_FILES, "binaryFile", per_trigger, pathGlobFilter="*.tar"
-    ).select(F.col("path").alias("archive"))
+    ).select(F.col("path").alias("archive"), "length")
+    run = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        from corpusmill.sources.archives import archive_id
-
         ingest_archives(batch, settings)
         if done:
-            mark_done(batch.select(archive_id(F.col("archive")).alias("archive_id")), done)
+            mark_done(batch.select(archive_id(F.col("archive")).alias("archive_id"), "archive"), done, f"{run}-{batch_id}")
 
     _run(arrived, ingest, checkpoint)

@@ -108,7 +108,7 @@ def test_writers_round_trip(spark, workdir):
     for step in (10, 20):
         text.append_loss(spark.createDataFrame([(step, 0.5)], "step bigint, loss double"), f"{workdir}/loss")
     assert sorted(r.step for r in text.read_loss_csv(spark, f"{workdir}/loss").collect()) == [10, 20]
-    text.mark_done(spark.createDataFrame([(7,)], "archive_id bigint"), f"{workdir}/done")
+    text.mark_done(spark.createDataFrame([(7, "a.tar")], "archive_id bigint, archive string"), f"{workdir}/done", "0")
     assert spark.read.parquet(f"{workdir}/done").count() == 1
 
 
