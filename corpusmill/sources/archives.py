@@ -307,3 +307,53 @@ def read_members(members: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFram
 def expand_archives(archives: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """All members of the archives with their content."""
     return read_members(index_archives(archives, chunk_bytes).checkpoint(), chunk_bytes)
+
+
+# --- writing --------------------------------------------------------------------------------------
+
+
+def _create(uri: str):
+    if uri.startswith(("/", "file:")):
+        path, system = "/" + uri.removeprefix("file:").lstrip("/"), fs.LocalFileSystem()
+        system.create_dir(path.rpartition("/")[0], recursive=True)
+        return system.open_output_stream(path)
+    scheme, _, rest = uri.partition("://")
+    authority, _, path = rest.partition("/")
+    system, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return system.open_output_stream(f"{base.rstrip('/')}/{path}")
+
+
+def _pack(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    current, stream, tar, n = None, None, None, 0
+
+    def close() -> pa.RecordBatch:
+        tar.close()
+        stream.close()
+        return pa.RecordBatch.from_arrays([pa.array([f"{folder}/{current}.tar"]), pa.array([n], type=pa.int64())], names=["archive", "members"])
+
+    for batch in batches:
+        for label, member, content in zip(*(batch.column(i) for i in range(3))):
+            if label.as_py() != current:
+                if tar is not None:
+                    yield close()
+                current, n = label.as_py(), 0
+                stream = _create(f"{folder}/{current}.tar")
+                tar = tarfile.open(fileobj=stream, mode="w|")
+            data = content.as_py() or b""
+            info = tarfile.TarInfo(member.as_py())
+            info.size = len(data)
+            tar.addfile(info, io.BytesIO(data))
+            n += 1
+    if tar is not None:
+        yield close()
+
+
+def write_archives(rows: DataFrame, folder: str) -> DataFrame:
+    """Write ``label, member, content`` as one tar per label, members by name; returns ``archive, members``.
+
+    One task writes an archive from start to end, one member in memory at a time, so a label should hold what one archive is to hold. A task that
+    runs again writes the same file again.
+    """
+    shared_folder(rows.sparkSession)
+    ordered = rows.select("label", "member", F.col("content").cast("binary")).repartition("label").sortWithinPartitions("label", "member")
+    return ordered.mapInArrow(lambda batches: _pack(batches, folder.rstrip("/")), "archive string, members bigint").checkpoint()
