@@ -106,6 +106,28 @@ def shard_coverage(spark, sf_dir):
     return top.withColumn("percent", r6(F.col("percent")))
 
 
+@query(
+    "coverage_totals",
+    """SELECT count(*) AS lines, count(*) FILTER (event_id % 5 <> 0) AS total, count(*) FILTER (event_id % 5 = 0) AS unsharded,
+    count(DISTINCT user_id) FILTER (event_id % 5 <> 0) AS shards, greatest(count(DISTINCT user_id) FILTER (event_id % 5 <> 0) - 20, 0) AS hidden FROM events""",
+)
+def coverage_totals(spark, sf_dir):
+    return runs.coverage_totals(b.table(spark, sf_dir, "events").select(F.when(F.col("event_id") % 5 != 0, F.col("user_id")).alias("shard")))
+
+
+@query(
+    "value_quantiles",
+    f"""SELECT name AS "column", prob, {sql_r6('q')} AS value FROM (
+    SELECT 'value' AS name, unnest([0.01, 0.5, 0.99]::DOUBLE[]) AS prob, unnest(quantile_cont(value::DOUBLE, [0.01, 0.5, 0.99])) AS q FROM events
+    UNION ALL SELECT 'kind', unnest([0.01, 0.5, 0.99]::DOUBLE[]), unnest(quantile_cont((event_id % 3)::DOUBLE, [0.01, 0.5, 0.99])) FROM events)""",
+)
+def value_quantiles(spark, sf_dir):
+    """Ranks far out, and a column in which each value is held by a third of all rows."""
+    rows = b.table(spark, sf_dir, "events").select("value", (F.col("event_id") % 3).alias("kind"))
+    found = runs.exact_quantiles(rows, ["value", "kind"], (0.01, 0.5, 0.99))
+    return found.withColumn("value", r6(F.col("value")))
+
+
 @query(
     "step_seconds",
     f"""SELECT user_id, event_id, {sql_r6('''(epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id))

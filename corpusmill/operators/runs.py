@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from corpusmill.operators import ordered
@@ -45,106 +47,190 @@ def shard_coverage(
     )
 
 
-def _tall(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``column, _v``: the values of several columns below each other, without NULL and NaN."""
-    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in columns]
-    rows = df.select(F.explode(F.array(*cells)).alias("_c")).select("_c.*")
-    return rows.filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-
-
-def _counted(df: DataFrame, columns: Sequence[str], partitions: int | None) -> DataFrame:
-    """``column, _v, _n, _upto``: distinct values with their count and the count up to them, stored.
-
-    Counting first makes a value that most rows share one row; the running sum is taken in value order
-    over range partitions.
-    """
-    counts = _tall(df, columns).groupBy("column", "_v").agg(F.count("*").alias("_n"))
-    return ordered.running_sum(counts, "_n", ["_v"], ["column"], "_upto", partitions)
-
-
-def _quantiles(counted: DataFrame, probs: Sequence[float]) -> DataFrame:
-    rank = F.col("prob") * (F.col("_rows") - 1)
-    ranks = (
-        counted.groupBy("column")
-        .agg(F.sum("_n").alias("_rows"))
-        .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .select(
-            "column",
-            "prob",
-            F.floor(rank).cast("bigint").alias("_low"),
-            F.ceil(rank).cast("bigint").alias("_high"),
-            (rank - F.floor(rank)).alias("_part"),
-        )
+def coverage_totals(log: DataFrame, shard: str = "shard", topk: int = TOP_SHARDS) -> DataFrame:
+    """One row beside :func:`shard_coverage`: ``lines`` of the log, ``total`` with a shard, ``unsharded`` without one, ``shards``, and ``hidden`` beyond ``topk``."""
+    counts = log.groupBy(F.col(shard).alias("shard")).agg(F.count("*").alias("n"))
+    none, named = F.lit(0).cast("bigint"), F.col("shard").isNotNull()
+    return counts.agg(
+        F.coalesce(F.sum("n"), none).alias("lines"),
+        F.coalesce(F.sum(F.when(named, F.col("n"))), none).alias("total"),
+        F.coalesce(F.sum(F.when(~named, F.col("n"))), none).alias("unsharded"),
+        F.count_if(named).alias("shards"),
+        F.greatest(F.count_if(named) - topk, none).alias("hidden"),
     )
-    spans = counted.select("column", "_v", (F.col("_upto") - F.col("_n")).alias("_from"), "_upto")
-
-    def holds(r: str) -> Column:
-        return (F.col("_from") <= F.col(r)) & (F.col(r) < F.col("_upto"))
 
-    # One row per column and quantile is broadcast.
-    near = spans.join(F.broadcast(ranks), "column").filter(holds("_low") | holds("_high"))
-    low = F.max(F.when(holds("_low"), F.col("_v")))
-    high = F.max(F.when(holds("_high"), F.col("_v")))
-    return (
-        near.groupBy("column", "prob", "_part")
-        .agg(low.alias("_a"), high.alias("_b"))
-        .select("column", "prob", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_part")).alias("value"))
-    )
 
-
-def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float] = QUARTILES, partitions: int | None = None
-) -> DataFrame:
-    """Quantiles with linear interpolation: ``column, prob, value``.
-
-    ``percentile`` keeps every distinct value in the memory of one task; here only the rows around
-    each rank leave their partition. NULL and NaN are left out.
+# --- exact order statistics -----------------------------------------------------------------------
+
+ACCURACY = 2000  # of the approximate quantiles that bound a rank, as one part in so many
+INSIDE = 100_000  # distinct values fetched when a bracket is narrow enough
+
+
+@dataclass
+class _Bracket:
+    """Where the value of one rank lies: above ``low`` and under ``high`` (None: no bound); ``below`` rows lie at or under ``low``, ``inside`` between."""
+
+    column: str
+    rank: int
+    low: float | None
+    high: float | None
+    below: int
+    inside: int
+
+    def values(self) -> Column:
+        """The column's values in the bracket, NULL elsewhere."""
+        v = F.col(f"`{self.column}`")
+        within = F.lit(True) if self.low is None else v > self.low
+        return F.when(within if self.high is None else within & (v < self.high), v)
+
+
+def _clean(name: str) -> Column:
+    """The column as a double; NULL for NaN."""
+    value = F.col(f"`{name}`").cast("double")
+    return F.when(~F.isnan(value), value)
+
+
+def _stored(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    shared_folder(df.sparkSession)
+    return df.select(*[_clean(c).alias(c) for c in dict.fromkeys(columns)]).checkpoint()
+
+
+def _bounds(values: Column, probs: Sequence[float]) -> Column:
+    """Approximate quantiles a little below and above each probability."""
+    asked = [min(1.0, max(0.0, p + d / ACCURACY)) for p in probs for d in (-2.0, 2.0)]
+    return F.percentile_approx(values, asked, ACCURACY)
+
+
+def _totals(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, Row]:
+    """Count, moments, ends and approximate bounds of each column, in one pass without a shuffle of rows."""
+    found = df.agg(
+        *[
+            F.struct(
+                F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"),
+                (_bounds(v, probs) if probs else F.lit(None)).alias("bounds"),
+            ).alias(f"c{i}")
+            for i, v in enumerate(F.col(f"`{c}`") for c in columns)
+        ]
+    ).first()
+    return {c: found[f"c{i}"] for i, c in enumerate(columns)}
+
+
+def _narrowed(df: DataFrame, brackets: Sequence[_Bracket], cuts: Sequence[Sequence[float]]) -> tuple[list[_Bracket], dict[tuple[str, int], float]]:
+    """Count the rows under and at each cut, and keep the part between two cuts that holds the rank; or the rank's value, if it is a cut."""
+    asked: dict[tuple[str, float], int] = {}
+    for b, cut in zip(brackets, cuts):
+        for c in cut:
+            asked.setdefault((b.column, c), len(asked))
+    counts = []
+    for column, c in asked:
+        v = F.col(f"`{column}`")
+        counts += [F.count_if(v < c), F.count_if(v <= c)]
+    row = df.agg(*[n.alias(f"n{i}") for i, n in enumerate(counts)]).first()
+    left, done = [], {}
+    for b, cut in zip(brackets, cuts):
+        low, high, below, upto = b.low, b.high, b.below, b.below + b.inside
+        for c in sorted(set(cut)):
+            under, at = row[2 * asked[b.column, c]], row[2 * asked[b.column, c] + 1]
+            if under <= b.rank < at:
+                done[b.column, b.rank] = c
+                break
+            if at <= b.rank:
+                low, below = c, at
+            elif under < upto:
+                high, upto = c, under
+        else:
+            left.append(_Bracket(b.column, b.rank, low, high, below, upto - below))
+    return left, done
+
+
+def _selected(df: DataFrame, wanted: dict[str, dict[int, tuple[float, float]]], ends: dict[str, Row]) -> dict[tuple[str, int], float]:
+    """The exact value of each wanted rank (0-based, among the values of a column), by narrowing brackets.
+
+    ``wanted`` has the first cuts of each rank. A pass counts for all ranks of all columns at once. A rank whose value is a cut is done, a bracket with few
+    rows is fetched, any other gets approximate quantiles of its own as new cuts. Cuts are values that occur, so each pass takes some away.
     """
-    return _quantiles(_counted(df, columns, partitions), probs)
+    done: dict[tuple[str, int], float] = {}
+    left, cuts = [], []
+    for column, ranks in wanted.items():
+        for rank, first in ranks.items():
+            left.append(_Bracket(column, rank, None, None, 0, ends[column]["count"]))
+            cuts.append(first)
+    while left:
+        left, found = _narrowed(df, left, cuts)
+        done |= found
+        small = [b for b in left if b.inside <= INSIDE]
+        if small:
+            done |= _fetched(df, small)
+        left = [b for b in left if b.inside > INSIDE]
+        if left:
+            at = [min(1.0, max(0.0, (b.rank - b.below + d * b.inside / ACCURACY) / b.inside)) for b in left for d in (-2.0, 2.0)]
+            row = df.agg(*[F.percentile_approx(b.values(), at[2 * i : 2 * i + 2], ACCURACY).alias(f"q{i}") for i, b in enumerate(left)]).first()
+            cuts = [tuple(row[f"q{i}"]) for i in range(len(left))]
+    return done
+
+
+def _fetched(df: DataFrame, brackets: Sequence[_Bracket]) -> dict[tuple[str, int], float]:
+    """Ranks whose bracket holds at most ``INSIDE`` rows, from the values in it."""
+    places = {(b.column, b.low, b.high): i for i, b in enumerate(brackets)}
+    lists = df.agg(*[F.collect_list(brackets[i].values()).alias(f"v{i}") for i in places.values()]).first()
+    held = {key: sorted(lists[f"v{i}"]) for key, i in places.items()}
+    return {(b.column, b.rank): held[b.column, b.low, b.high][b.rank - b.below] for b in brackets}
+
+
+def _interpolated(df: DataFrame, totals: dict[str, Row], probs: Sequence[float]) -> dict[tuple[str, float], float]:
+    """Quantile of each column and probability that has values."""
+    wanted: dict[str, dict[int, tuple[float, float]]] = {}
+    for column, row in totals.items():
+        if not row["count"]:
+            continue
+        ranks = wanted.setdefault(column, {})
+        for i, p in enumerate(probs):
+            at = p * (row["count"] - 1)
+            for rank in {math.floor(at), math.ceil(at)}:
+                ranks[rank] = tuple(row["bounds"][2 * i : 2 * i + 2])
+    exact = _selected(df, wanted, totals)
+    out = {}
+    for column in wanted:
+        for p in probs:
+            at = p * (totals[column]["count"] - 1)
+            a, b = exact[column, math.floor(at)], exact[column, math.ceil(at)]
+            out[column, p] = a if a == b else a + (b - a) * (at - math.floor(at))
+    return out
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = QUARTILES) -> DataFrame:
+    """Quantiles with linear interpolation: ``column, prob, value``. NULL and NaN are left out.
+
+    ``percentile`` keeps every distinct value in the memory of one task. Here no row is sorted or shuffled: approximate quantiles bound each
+    rank, then passes of partial aggregates count exactly how many rows lie below, until a bracket holds one value or at most ``INSIDE`` rows,
+    which are fetched. A value that many rows share is found by its count. The asked columns are checkpointed, as they are read a few
+    times, once per pass for all columns and ranks.
+    """
+    df = _stored(df, columns)
+    found = _interpolated(df, _totals(df, columns, probs), probs)
+    rows = [(c, float(p), v) for (c, p), v in found.items()]
+    return df.sparkSession.createDataFrame(rows, "column string, prob double, value double")
 
 
-def describe_exact(
-    df: DataFrame, columns: Sequence[str], approximate: bool = False, partitions: int | None = None
-) -> DataFrame:
+def describe_exact(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
     """Count, mean, std (n-1), min, quartiles and max per column; a column without values has count 0.
 
-    All comes from the counted values, so the input is read once for all columns. ``approximate``
-    takes the quartiles from ``percentile_approx`` instead, without any order.
+    All moments come from one pass; the quartiles as in :func:`exact_quantiles`. ``approximate`` takes the quartiles from ``percentile_approx`` instead,
+    in that same pass.
     """
-    names = ["q25", "q50", "q75"]
+    df = _stored(df, columns)
     if approximate:
-        value = F.col("_v")
-        quartiles = F.percentile_approx(value, list(QUARTILES), 10_000)
-        stats = _tall(df, columns).groupBy("column").agg(
-            F.count(value).alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
-            F.min(value).alias("min"), F.max(value).alias("max"), quartiles.alias("_q"),
-        )
-        found = stats.select("*", *[F.get("_q", F.lit(i)).alias(q) for i, q in enumerate(names)])
+        totals = _totals(df, columns, ())
+        row = df.agg(*[F.percentile_approx(F.col(f"`{c}`"), list(QUARTILES), 10_000).alias(f"q{i}") for i, c in enumerate(columns)]).first()
+        quartiles = {(c, p): row[f"q{i}"][k] for i, c in enumerate(columns) if row[f"q{i}"] for k, p in enumerate(QUARTILES)}
     else:
-        counted = _counted(df, columns, partitions)
-        v, n = F.col("_v"), F.col("_n")
-        means = counted.groupBy("column").agg(
-            F.sum(n).alias("count"), (F.sum(v * n) / F.sum(n)).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max")
-        )
-        # Second pass over the counts: squares around the mean do not cancel.
-        off = v - F.col("mean")
-        spread = (
-            counted.join(F.broadcast(means.select("column", "mean", "count")), "column")
-            .groupBy("column")
-            .agg(F.sqrt(F.sum(n * off * off) / F.nullif(F.max("count") - 1, F.lit(0))).alias("std"))
-        )
-        quartiles = (
-            _quantiles(counted, QUARTILES)
-            .groupBy("column")
-            .agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(q) for p, q in zip(QUARTILES, names)])
-        )
-        found = means.join(F.broadcast(spread), "column").join(F.broadcast(quartiles), "column")
-    asked = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
-    count = F.coalesce("count", F.lit(0).cast("bigint")).alias("count")
-    # One row per column on both sides.
-    return asked.join(F.broadcast(found), "column", "left").select(
-        "column", count, "mean", "std", "min", *names, "max"
-    )
+        totals = _totals(df, columns, QUARTILES)
+        quartiles = _interpolated(df, totals, QUARTILES)
+    rows = [
+        (c, t["count"], t["mean"], t["std"], t["min"], *[quartiles.get((c, p)) for p in QUARTILES], t["max"]) for c, t in totals.items()
+    ]
+    numbers = ", ".join(f"{x} double" for x in ("mean", "std", "min", "q25", "q50", "q75", "max"))
+    return df.sparkSession.createDataFrame(rows, f"column string, count bigint, {numbers}")
 
 
 def interval_seconds(interval: Column) -> Column:

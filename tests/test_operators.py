@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import math
 import statistics
 from collections import Counter
 
@@ -231,13 +232,12 @@ def test_x0_is_recovered(spark, small_shards):
     assert all(np.allclose(r.pred, r.xt) for r in scored.collect())
 
 
-@pytest.mark.parametrize("parts", [1, 3, 8])
-def test_describe(spark, parts):
+def test_describe(spark):
     rng = np.random.default_rng(2)
     a = np.where(rng.random(400) < 0.4, 5.0, rng.normal(100, 3, 400))
     pdf = pd.DataFrame({"a": a, "b": np.arange(400) * 1.5})
     pdf.loc[::17, "b"] = np.nan
-    got = {r["column"]: r for r in runs.describe_exact(spark.createDataFrame(pdf), ["a", "b"], partitions=parts).collect()}
+    got = {r["column"]: r for r in runs.describe_exact(spark.createDataFrame(pdf), ["a", "b"]).collect()}
     for name, want in pdf.describe().items():
         row = got[name]
         values = [row["count"], row["mean"], row["std"], row["min"], row.q25, row.q50, row.q75, row["max"]]
@@ -254,6 +254,38 @@ def test_describe_small(spark):
     assert near.q50 == 500.0 and near["std"] == pytest.approx(statistics.stdev(range(1001)))
 
 
+@pytest.mark.parametrize("inside", [100_000, 7])
+def test_quantiles_of_all_shapes(spark, monkeypatch, inside):
+    """A value that a third of all rows share, heavy tails, infinities, NULL and NaN; brackets narrowed down to few rows."""
+    monkeypatch.setattr(runs, "INSIDE", inside)
+    monkeypatch.setattr(runs, "ACCURACY", 20)
+    rng = np.random.default_rng(4)
+    n = 3000
+    shapes = {
+        "hot": np.where(rng.random(n) < 0.34, 5.0, rng.normal(5, 3, n)),
+        "tail": 10.0 ** rng.uniform(-200, 200, n) * rng.choice([-1, 1], n),
+        "whole": rng.integers(-3, 4, n).astype(float),
+        "ends": np.where(rng.random(n) < 0.3, np.inf, np.where(rng.random(n) < 0.2, -np.inf, rng.random(n))),
+        "holes": np.where(rng.random(n) < 0.5, np.nan, rng.random(n)),
+    }
+    frame = spark.createDataFrame(pd.DataFrame(shapes)).withColumn("some", F.expr("case when whole = 0 then null else tail end")).repartition(3).cache()
+    probs = (0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0)
+    got = {(r["column"], r.prob): r.value for r in runs.exact_quantiles(frame, [*shapes, "some"], probs).collect()}
+    shapes["some"] = shapes["tail"][shapes["whole"] != 0]
+    for name, values in shapes.items():
+        kept = np.sort(values[~np.isnan(values)])
+        for p in probs:
+            at = p * (len(kept) - 1)
+            a, b = kept[math.floor(at)], kept[math.ceil(at)]
+            assert got[name, p] == pytest.approx(a if a == b else a + (b - a) * (at - math.floor(at)), rel=1e-12), (name, p)
+
+
+def test_shard_coverage_totals(spark):
+    log = spark.createDataFrame([(1, "b"), (2, "a"), (3, None), (4, "b")], "step int, shard string")
+    assert runs.coverage_totals(log, topk=1).collect() == [(4, 3, 1, 2, 1)]
+    assert runs.coverage_totals(log.limit(0)).collect() == [(0, 0, 0, 0, 0)]
+
+
 def test_shard_coverage_ties(spark):
     log = spark.createDataFrame([(1, "b"), (2, "a"), (3, "a"), (4, "b"), (5, "c")], "step int, shard string")
     rows = runs.shard_coverage(log, topk=2).collect()

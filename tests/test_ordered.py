@@ -8,6 +8,9 @@ from collections import defaultdict
 
 import pytest
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from corpusmill.operators import ordered
 
 PARTITIONS = [1, 3, 8]
@@ -132,3 +135,78 @@ def test_wide_rows_keep_their_payload(spark):
     df = spark.createDataFrame([(i, f"text {i}") for i in range(40)], "id bigint, body string")
     got = {r.id: (r.body, r.ordinal) for r in ordered.number_rows(df, "id", ["id"], partitions=3).collect()}
     assert got == {i: (f"text {i}", i) for i in range(40)}
+
+
+# --- keys and values of every kind ----------------------------------------------------------------
+
+KEYS = {
+    "timestamp": "timestamp_micros(1700000000000000 + cast(id % 7 as bigint))",
+    "ntz": "cast(timestamp_micros(1700000000000000 + cast(id % 5 as bigint) * 3) as timestamp_ntz)",
+    "double": "case id % 4 when 0 then double('NaN') when 1 then null when 2 then 0.5D else -1D end",
+    "binary": "case when id % 3 = 0 then null else cast(concat('k', id % 3) as binary) end",
+    "decimal": "cast(id % 3 as decimal(30, 12)) / 7",
+    "string": "case when id % 3 = 0 then null else concat('é', id % 3) end",
+    "struct": "named_struct('a', id % 3, 'b', timestamp_micros(cast(id % 2 as bigint)))",
+    "date": "date_add(date'2024-01-01', cast(id % 3 as int))",
+}
+VALUES = {
+    "long": "case when id % 6 = 0 then null else id * 1000000007 end",
+    "decimal": "cast(id as decimal(20, 3)) / 8",
+    "double": "case when id % 9 = 0 then null else id / 7D end",
+    "int": "cast(id as int)",
+}
+
+
+@pytest.fixture(scope="module")
+def kinds(spark):
+    keys = [f"{text} as k_{name}" for name, text in KEYS.items()]
+    values = [f"{text} as v_{name}" for name, text in VALUES.items()]
+    return spark.range(200).selectExpr("id", *keys, *values).repartition(6).checkpoint()
+
+
+@pytest.mark.parametrize("key", [f"k_{k}" for k in KEYS])
+@pytest.mark.parametrize("parts", [1, 8])
+def test_scans_equal_windows_for_keys_of_every_kind(kinds, key, parts):
+    window = Window.partitionBy(key).orderBy("id")
+    rows = kinds.select("id", key, "v_long", "v_double")
+    want = rows.select("id", (F.row_number().over(window) - 1).alias("n"), F.sum("v_long").over(window).alias("s"), F.lag(key).over(window).alias("p"))
+    ordinal = ordered.with_ordinal(rows, ["id"], [key], "n", parts)
+    summed = ordered.running_sum(rows, "v_long", ["id"], [key], "s", parts)
+    lagged = ordered.previous_value(rows, key, ["id"], [key], "p", parts)
+    got = ordinal.select("id", "n").join(summed.select("id", "s"), "id").join(lagged.select("id", "p"), "id")
+    text = [F.col("id"), F.col("n").cast("bigint"), "s", F.col("p").cast("string")]
+    assert sorted(map(tuple, got.select(*text).collect()), key=repr) == sorted(map(tuple, want.select(*text).collect()), key=repr)
+
+
+@pytest.mark.parametrize("value", [f"v_{v}" for v in VALUES])
+@pytest.mark.parametrize("by", [(), ("k_timestamp",)])
+def test_sums_of_every_kind(kinds, value, by):
+    window = Window.partitionBy(*by).orderBy("id")
+    want = kinds.select("id", F.sum(value).over(window).alias("s"))
+    got = ordered.running_sum(kinds, value, ["id"], by, "s", 5).select("id", "s")
+    assert got.schema["s"].dataType == want.schema["s"].dataType
+    for a, b in zip(got.orderBy("id").collect(), want.orderBy("id").collect()):
+        assert a.id == b.id and (a.s == b.s or a.s == pytest.approx(b.s))
+
+
+def test_average_of_timestamp_groups(kinds):
+    got = {r.id: r.e for r in ordered.ema(kinds, "v_int", ["id"], ["k_timestamp"], 0.5, "e", 8).collect()}
+    for first in range(7):
+        ids = range(first, 200, 7)
+        assert [got[i] for i in ids] == pytest.approx(loop_ema(list(ids), 0.5))
+
+
+def test_sum_beyond_its_type_is_an_error(spark):
+    rows = spark.range(4).selectExpr("id", "9223372036854775807L as v")
+    with pytest.raises(Exception, match="(?i)overflow|too large|bounds|int"):
+        ordered.running_sum(rows, "v", ["id"], partitions=1).collect()
+
+
+def test_one_exchange_of_data(spark, kinds):
+    """The plan that makes the stored segments shuffles once; the plan above them moves one row per segment."""
+    rows = ordered._range_sorted(kinds.select("id"), ["id"], 4).mapInArrow(lambda b: b, "id bigint")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") == 1 and "hashpartitioning" not in plan
+    whole = ordered.with_ordinal(kinds.select("id", "k_string"), ["id"], ["k_string"], partitions=4)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(k_string" not in plan and "SortMergeJoin" not in plan
