@@ -9,6 +9,7 @@ from corpusmill.catalog.registry import query
 from corpusmill.functions import paths
 from corpusmill.operators import ordered, resume, sampling
 from corpusmill.plans.shards import manifest_check
+from corpusmill.session import scratch_folder
 from corpusmill.sources import files as src
 from corpusmill.sources import shards as store
 from corpusmill.sources import text as text_src
@@ -172,3 +173,49 @@ def manifest_integrity(spark, sf_dir):
     listed = rows.filter(F.col("sample") % 9 != 0)
     extra = rows.filter(F.col("sample") % 50 == 1).withColumn("index", F.col("index") + 1000)
     return manifest_check(listed.unionByName(extra), shards, ["dataset", "shard", "index"])
+
+
+_COPIES = """SELECT coalesce(source, 'none') AS dataset, printf('raw/%08d.png', doc_id // 2) AS path, doc_id::VARCHAR AS caption, doc_id,
+    CASE WHEN doc_id % 5 = 0 THEN 2 ELSE 1 END AS run FROM documents"""
+_STORED = f"""
+WITH d AS ({_COPIES}),
+n AS (SELECT *, row_number() OVER (PARTITION BY dataset, run ORDER BY path, caption) - 1 AS pos FROM d),
+f AS (SELECT dataset, (max(pos) FILTER (WHERE run = 1) // {_SIZE} + 1) AS first FROM n GROUP BY dataset)
+SELECT dataset, (CASE WHEN run = 2 THEN coalesce(first, 0) ELSE 0 END + pos // {_SIZE})::INTEGER AS shard, (pos % {_SIZE})::BIGINT AS index, path, caption,
+  (doc_id % 512)::DOUBLE AS value FROM n JOIN f USING (dataset)
+"""
+
+
+def _stored_twice(spark, sf_dir, precision):
+    """Encoded samples whose paths all repeat, in two committed runs with a stopped one between; returns the root."""
+    root = scratch_folder(spark, "store")
+    docs = b.table(spark, sf_dir, "documents").select(
+        F.coalesce("source", F.lit("none")).alias("dataset"), F.format_string("raw/%08d.png", F.floor(F.col("doc_id") / 2).cast("bigint")).alias("path"),
+        F.col("doc_id").cast("string").alias("caption"), F.array((F.col("doc_id") % 512).cast("float"), F.lit(0.5)).alias("latent"),
+        F.array(F.lit(2)).alias("shape"), F.lit(16).alias("image_size"), F.lit("none").alias("encoder_id"), F.lit(1.0).alias("latent_scale"), "doc_id",
+    )
+    for part, commit in (("doc_id % 5 <> 0", True), ("doc_id % 5 = 0", False), ("doc_id % 5 = 0", True)):
+        store.write_shards(docs.filter(part).drop("doc_id"), root, ["path", "caption"], _SIZE, precision, commit)
+    store.append_manifest(store.unlisted_samples(spark, root), root)
+    return root
+
+
+@query("shard_store", _STORED)
+def shard_store(spark, sf_dir):
+    found = store.read_shards(spark, _stored_twice(spark, sf_dir, "fp16"))
+    return found.select("dataset", "shard", "index", "path", "caption", F.get("latent", F.lit(0)).cast("double").alias("value"))
+
+
+@query(
+    "shard_store_check",
+    f"""WITH d AS ({_COPIES}) SELECT 0::BIGINT AS missing, 0::BIGINT AS extra,
+    (SELECT count(*) FROM (SELECT path FROM d GROUP BY path HAVING count(*) > 1))::BIGINT AS duplicate_paths, 0::BIGINT AS broken_shards,
+    (SELECT count(*) FROM d)::BIGINT AS found""",
+)
+def shard_store_check(spark, sf_dir):
+    """The manifest against the shards, and how many records find their payload."""
+    root = _stored_twice(spark, sf_dir, "fp32")
+    manifest, shards = store.stored_manifest(spark, root), store.read_shards(spark, root)
+    named = shards.withColumn("shard", paths.shard_name(F.col("shard")))
+    checked = manifest_check(manifest, named, ["dataset", "shard", "index"])
+    return checked.withColumn("found", F.lit(store.positional_lookup(manifest, shards).count()).cast("bigint"))

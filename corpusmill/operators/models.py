@@ -28,6 +28,10 @@ Model = Callable[..., np.ndarray]
 ENCODE_FAILED = "encode_failed"
 
 
+class DecoderMissing(RuntimeError):
+    """No image can be decoded at all. This alone stops a job; any other error of a decoder is the failure of one image."""
+
+
 # --- pixels ---------------------------------------------------------------------------------------
 
 
@@ -36,7 +40,7 @@ def decode_rgb(content: bytes) -> np.ndarray:
     try:
         from PIL import Image
     except ImportError as missing:
-        raise RuntimeError("give a decoder, or install Pillow on the workers") from missing
+        raise DecoderMissing("give a decoder, or install Pillow on the workers") from missing
     with Image.open(io.BytesIO(content)) as image:
         return np.asarray(image.convert("RGB"))
 
@@ -49,28 +53,48 @@ def bgr_rows(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
     return pixels[:, :, 2::-1]
 
 
-def _cubic_weights(size_in: int, size_out: int) -> np.ndarray:
-    """Cubic convolution (a = -0.5), widened when shrinking so that no pixel is skipped."""
+_BLOCK_ROWS = 256
+
+
+def _cubic_taps(size_in: int, size_out: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cubic convolution (a = -0.5), widened when shrinking so that no pixel is skipped: for each output the inputs it uses and their weights."""
     ratio = size_in / size_out
     stretch = max(ratio, 1.0)
     centres = (np.arange(size_out) + 0.5) * ratio
-    x = np.abs((np.arange(size_in)[None, :] + 0.5 - centres[:, None]) / stretch)
+    first = np.floor(centres - 0.5 - 2 * stretch).astype(np.int64) + 1
+    taps = first[:, None] + np.arange(int(np.ceil(4 * stretch)) + 1)
+    x = np.abs((taps + 0.5 - centres[:, None]) / stretch)
     near = (1.5 * x - 2.5) * x * x + 1.0
     far = ((-0.5 * x + 2.5) * x - 4.0) * x + 2.0
     weights = np.where(x < 1, near, np.where(x < 2, far, 0.0))
-    return weights / weights.sum(axis=1, keepdims=True)
+    weights[(taps < 0) | (taps >= size_in)] = 0.0
+    return np.clip(taps, 0, size_in - 1), (weights / weights.sum(axis=1, keepdims=True)).astype(np.float32)
+
+
+def _resize_rows(rows: np.ndarray, taps: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """``[n, width, channels]`` resized along its width, one tap of all outputs at a time."""
+    out = np.zeros((rows.shape[0], len(taps), rows.shape[2]), dtype=np.float32)
+    for k in range(taps.shape[1]):
+        out += weights[:, k, None] * rows[:, taps[:, k]]
+    return out
 
 
 def crop_and_resize(rgb: np.ndarray, size: int) -> np.ndarray:
-    """Largest centred square, resized to ``size``."""
+    """Largest centred square, resized to ``size``.
+
+    One axis after the other, each output from the few inputs it depends on; the first axis in blocks of rows, so that no copy of
+    the whole image is made.
+    """
     height, width = rgb.shape[:2]
     side = min(height, width)
     top, left = (height - side) // 2, (width - side) // 2
-    square = rgb[top : top + side, left : left + side].astype(np.float64)
+    square = rgb[top : top + side, left : left + side]
     if side == size:
-        return square
-    weights = _cubic_weights(side, size)
-    return np.clip(np.rint(np.einsum("oi,ijc,pj->opc", weights, square, weights, optimize=True)), 0, 255)
+        return square.astype(np.float64)
+    taps, weights = _cubic_taps(side, size)
+    narrow = np.concatenate([_resize_rows(square[i : i + _BLOCK_ROWS], taps, weights) for i in range(0, side, _BLOCK_ROWS)])
+    resized = _resize_rows(narrow.transpose(1, 0, 2), taps, weights).transpose(1, 0, 2)
+    return np.clip(np.rint(resized.astype(np.float64)), 0, 255)
 
 
 def model_input(rgb: np.ndarray, size: int) -> np.ndarray:
@@ -151,7 +175,7 @@ def _encode_part(part: pd.DataFrame, pixels, model: Model, image_size: int, scal
         try:
             inputs.append(model_input(pixels(row), image_size))
             used.append(at)
-        except RuntimeError:
+        except DecoderMissing:
             raise
         except Exception as failure:  # a bad image must not stop the batch
             reasons[at] = f"{ENCODE_FAILED}:{type(failure).__name__}"
@@ -177,7 +201,7 @@ def probe_images(rows: DataFrame, decoder: Callable[[bytes], np.ndarray] = decod
             try:
                 height, width = decoder(data).shape[:2]
                 out.append((True, "ok", width, height))
-            except RuntimeError:
+            except DecoderMissing:
                 raise
             except Exception as failure:
                 out.append((False, f"{CORRUPT}:{type(failure).__name__}", None, None))

@@ -27,6 +27,7 @@ def build_shards(
     resuming: bool = False,
     encoder_id: str = "encoder",
     decoder: Callable = models.decode_rgb,
+    precision: str = "fp32",
 ) -> DataFrame:
     """Encode pairs into ``root/shards`` and append their records to ``root/manifest``.
 
@@ -34,7 +35,7 @@ def build_shards(
     the pixels the encoder needs, so payloads are read after the narrow rows have been cut down. With
     ``resuming``, stored paths are left out, after the cut to ``max_items``; samples that a stopped run
     stored but did not list are listed now. The encoder runs once: its output is kept in the shared
-    folder, then numbered and written. Returns one row: how many were written and how many failed.
+    folder, then numbered and written. Pairs may share a path; each is a sample of its own. ``precision`` is that of the stored latents. Returns one row: how many were written and how many failed.
     """
     spark = pairs.sparkSession
     rows = resume.max_items(pairs, max_items, list(order))
@@ -49,13 +50,13 @@ def build_shards(
         encoded = models.encode_batches(
             load(rows), encoder, image_size, batch_size, encoder_id=encoder_id, decoder=decoder
         )
-        encoded.write.parquet(staged)
+        store.with_row_ids(encoded).write.parquet(staged)
     finally:
         spark.conf.set(ARROW_BATCH, batch)
-    stored = spark.read.schema(encoded.schema).parquet(staged)
+    stored = spark.read.schema(store.with_row_ids(encoded).schema).parquet(staged)
     good = models.drop_failed_encodes(stored)
     if not good.isEmpty():
-        store.write_shards(good, root, order, shard_size)
+        store.write_shards(good, root, order, shard_size, precision)
         _list_orphans(spark, root, datasets)
     return stored.agg(
         F.count_if(F.col("reason").isNull()).alias("written"),

@@ -1,11 +1,16 @@
 """Numbered shards of encoded samples and their manifest.
 
-A shard is a Parquet partition ``dataset=<name>/shard=<number>``; what was constant per shard file
+A shard is a Parquet partition ``run=<id>/dataset=<name>/shard=<number>``; what was constant per shard file
 (image size, encoder, scale) are columns, which Parquet stores once per page as a dictionary.
+
+Each write is a *run* of its own folder, and one record per dataset in ``commits`` ends it: the numbers it took and how its latents are
+stored. Readers see committed runs only, so a run that was stopped, or a task of it, leaves nothing that counts, and doing it
+again writes every shard once. The next free number comes from these records, not from the shards.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -16,7 +21,9 @@ from corpusmill.functions import paths
 from corpusmill.functions.text import MANIFEST_SCHEMA, manifest_line, parsed_manifest_line
 from corpusmill.functions.vectors import LATENT_SCALE
 from corpusmill.operators import ordered
+from corpusmill.operators.models import cast_precision, unpack_half
 from corpusmill.operators.sizing import broadcast_if_small
+from corpusmill.session import scratch_folder
 from corpusmill.sources.files import list_files
 
 # Fixed value: samples per shard.
@@ -24,10 +31,15 @@ SHARD_SIZE = 2000
 # Datasets named in a partition filter.
 MAX_PRUNED = 1000
 
+HALF = "fp16"
+ROW = "_row"
+COMMIT_SCHEMA = "run string, dataset string, first bigint, next bigint, precision string"
 SHARD_SCHEMA = (
     "index bigint, path string, caption string, latent array<float>, shape array<int>, "
     "image_size int, encoder_id string, latent_scale double, dataset string, shard int"
 )
+# As stored: latents as FLOAT or as packed half precision.
+STORED_SCHEMA = SHARD_SCHEMA.replace("shape array", "latent_half binary, shape array") + ", run string"
 
 
 def shard_of(ordinal: Column, size: int, start: Column | int = 0) -> Column:
@@ -62,26 +74,47 @@ def manifest_folder(root: str) -> str:
     return f"{root.rstrip('/')}/manifest"
 
 
-def _is_missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
+def commit_folder(root: str) -> str:
+    return f"{root.rstrip('/')}/commits"
 
 
-def read_shards(spark: SparkSession, root: str, datasets: Sequence[str] | None = None) -> DataFrame:
-    """All stored samples; a missing scale gets the default one. Datasets prune partitions."""
-    shards = spark.read.schema(SHARD_SCHEMA).parquet(shard_folder(root))
-    if datasets is not None:
-        shards = shards.filter(F.col("dataset").isin(list(datasets)))
-    return shards.withColumn("latent_scale", default_scale(F.col("latent_scale")))
+def _is_missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def stored_samples(spark: SparkSession, root: str, datasets: Sequence[str] | None = None) -> DataFrame:
-    """:func:`read_shards`, or no rows when nothing is stored yet."""
+def committed(spark: SparkSession, root: str, datasets: Sequence[str] | None = None) -> DataFrame:
+    """``run, dataset, first, next, precision`` of the runs that are done; no rows when nothing is stored yet."""
     try:
-        return read_shards(spark, root, datasets)
+        found = spark.read.schema(COMMIT_SCHEMA).json(commit_folder(root))
     except AnalysisException as error:
         if not _is_missing(error):
             raise
+        return spark.createDataFrame([], COMMIT_SCHEMA)
+    return found if datasets is None else found.filter(F.col("dataset").isin(list(datasets)))
+
+
+def stored_samples(spark: SparkSession, root: str, datasets: Sequence[str] | None = None) -> DataFrame:
+    """All samples of committed runs, latents as FLOAT; a missing scale gets the default one. Datasets prune runs and partitions.
+
+    The runs are named one by one, so that no other folder is listed.
+    """
+    runs = committed(spark, root, datasets).groupBy("run").agg(F.max(F.col("precision") == HALF).alias("half")).collect()
+    if not runs:
         return spark.createDataFrame([], SHARD_SCHEMA)
+    folder = shard_folder(root)
+    shards = spark.read.schema(STORED_SCHEMA).option("basePath", folder).parquet(*[f"{folder}/run={r['run']}" for r in runs])
+    if datasets is not None:
+        shards = shards.filter(F.col("dataset").isin(list(datasets)))
+    if any(r["half"] for r in runs):
+        shards = shards.withColumn("latent", F.coalesce("latent", unpack_half(F.col("latent_half"))))
+    return shards.withColumn("latent_scale", default_scale(F.col("latent_scale"))).select(*_names(SHARD_SCHEMA))
+
+
+def read_shards(spark: SparkSession, root: str, datasets: Sequence[str] | None = None) -> DataFrame:
+    """:func:`stored_samples`, an error when nothing is stored."""
+    if committed(spark, root, datasets).isEmpty():
+        raise ValueError(f"no shards below {root}")
+    return stored_samples(spark, root, datasets)
 
 
 def datasets_of(rows: DataFrame) -> list[str] | None:
@@ -91,42 +124,63 @@ def datasets_of(rows: DataFrame) -> list[str] | None:
 
 
 def next_shard_numbers(spark: SparkSession, root: str, datasets: Sequence[str] | None = None) -> DataFrame:
-    """``dataset, next``: largest stored shard number plus one."""
-    stored = stored_samples(spark, root, datasets)
-    return stored.groupBy("dataset").agg((F.max("shard") + 1).cast("bigint").alias("next"))
+    """``dataset, next``: the first number no committed run has taken."""
+    return committed(spark, root, datasets).groupBy("dataset").agg(F.max("next").alias("next"))
 
 
 def default_scale(scale: Column) -> Column:
     return F.coalesce(scale, F.lit(LATENT_SCALE))
 
 
-def write_shards(
-    encoded: DataFrame, root: str, order: Sequence[str] = ("path",), size: int = SHARD_SIZE
-) -> None:
-    """Append encoded samples as shards, numbered on from the existing ones of their ``dataset``.
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def with_row_ids(encoded: DataFrame) -> DataFrame:
+    """A number for each row, to be stored with it: rows may share a path, a caption, everything."""
+    return encoded.withColumn(ROW, F.monotonically_increasing_id())
 
-    ``encoded`` is read twice (keys to number, payload to write), so pass a stored table, not an
-    encoder's output. Keys are numbered first and joined to the payload by ``path`` (broadcast while
-    they are few); a shard holds at most ``size`` samples, so no task gets more than that of one shard.
+
+def write_shards(
+    encoded: DataFrame, root: str, order: Sequence[str] = ("path",), size: int = SHARD_SIZE, precision: str = "fp32", commit: bool = True
+) -> str:
+    """Store encoded samples as the shards of a new run, numbered on from the committed ones of their ``dataset``; returns the run.
+
+    Rows are told apart by a stored row number (:func:`with_row_ids`); a table without one is stored with it first. Keys are numbered
+    as narrow rows and joined to the payload by that number (broadcast while they are few); rows that are equal in ``order`` go in row order. A shard
+    holds at most ``size`` samples, so no task gets more than that of one shard. ``precision`` fp16 keeps latents as packed bytes. Without
+    ``commit`` the run stays invisible.
     """
     spark = encoded.sparkSession
-    keys = encoded.select(*dict.fromkeys(["path", "dataset", *order]))
-    numbered = ordered.with_ordinal(keys, order, ["dataset"], "_at").select("path", "dataset", "_at")
+    if ROW not in encoded.columns:
+        staged = scratch_folder(spark, "rows")
+        with_row_ids(encoded).write.parquet(staged)
+        encoded = spark.read.parquet(staged)
+    run = uuid.uuid4().hex
+    keys = encoded.select(*dict.fromkeys([ROW, "dataset", *order]))
+    numbered = ordered.with_ordinal(keys, [*order, ROW], ["dataset"], "_at").select(ROW, "dataset", "_at")
     starts = broadcast_if_small(next_shard_numbers(spark, root, datasets_of(keys)))
     first, at = F.coalesce("next", F.lit(0).cast("bigint")), F.col("_at")
     placed = numbered.join(starts, "dataset", "left").select(
-        "path", shard_of(at, size, first).cast("int").alias("shard"), index_of(at, size).alias("index")
-    )
-    columns = [c.split()[0] for c in SHARD_SCHEMA.split(", ")]
+        ROW, "dataset", shard_of(at, size, first).cast("int").alias("shard"), index_of(at, size).alias("index")
+    ).checkpoint()
+    half = cast_precision(F.col("latent"), HALF) if precision == HALF else F.lit(None).cast("binary")
+    latent = F.lit(None).cast("array<float>") if precision == HALF else cast_precision(F.col("latent"), precision)
     (
-        encoded.join(broadcast_if_small(placed), "path")
-        .select(*columns)
+        encoded.join(broadcast_if_small(placed.drop("dataset")), ROW)
+        .withColumns({"run": F.lit(run), "latent_half": half, "latent": latent})
+        .select(*_names(STORED_SCHEMA))
         .repartition("dataset", "shard")
         .sortWithinPartitions("dataset", "shard", "index")
         .write.mode("append")
-        .partitionBy("dataset", "shard")
+        .partitionBy("run", "dataset", "shard")
         .parquet(shard_folder(root))
     )
+    if commit:
+        taken = placed.groupBy("dataset").agg(F.min("shard").cast("bigint").alias("first"), (F.max("shard") + 1).cast("bigint").alias("next"))
+        record = taken.select(F.lit(run).alias("run"), "dataset", "first", "next", F.lit(precision).alias("precision"))
+        record.coalesce(1).write.mode("append").json(commit_folder(root))
+    return run
 
 
 def manifest_of(shards: DataFrame) -> DataFrame:
@@ -173,26 +227,24 @@ def listed_datasets(spark: SparkSession, root: str) -> DataFrame:
 
 
 def dataset_sizes(spark: SparkSession, root: str, datasets: Sequence[str]) -> DataFrame:
-    """``dataset, bytes``: stored file sizes of the given datasets, from their listing alone."""
-    folders = [f"{shard_folder(root)}/dataset={name}" for name in datasets]
-    sizes = spark.createDataFrame([], "dataset string, bytes bigint")
-    for name, folder in zip(datasets, folders):
-        try:
-            files = list_files(spark, folder)
-        except AnalysisException as error:
-            if not _is_missing(error):
-                raise
-            continue
-        sizes = sizes.union(files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).select(F.lit(name), "bytes"))
-    return sizes
+    """``dataset, bytes``: file sizes of the committed shards of the given datasets, from their listing alone."""
+    runs = committed(spark, root, datasets).select("run", "dataset").distinct().collect()
+    if not runs:
+        return spark.createDataFrame([], "dataset string, bytes bigint")
+    folder = shard_folder(root)
+    files = spark.read.format("binaryFile").option("basePath", folder).load([f"{folder}/run={r['run']}/dataset={r['dataset']}" for r in runs])
+    return files.groupBy("dataset").agg(F.sum("length").alias("bytes"))
 
 
 def unlisted_samples(spark: SparkSession, root: str, datasets: Sequence[str] | None = None) -> DataFrame:
-    """Stored samples that no manifest record names (a run stopped between the two writes)."""
-    listed = stored_manifest(spark, root, datasets).select("dataset", "path")
-    return stored_samples(spark, root, datasets).join(listed, ["dataset", "path"], "left_anti")
+    """Stored samples at whose place no manifest record stands (a run stopped between the two writes)."""
+    place = ["dataset", "_name", "index"]
+    listed = stored_manifest(spark, root, datasets).select("dataset", F.col("shard").alias("_name"), "index")
+    stored = stored_samples(spark, root, datasets).select("dataset", "shard", "index", "path", "caption")
+    return stored.withColumn("_name", paths.shard_name(F.col("shard"))).join(listed, place, "left_anti").drop("_name")
 
 
-def positional_lookup(manifest: DataFrame, shards: DataFrame, on: Sequence[str] = ("shard", "index")) -> DataFrame:
-    """Manifest rows with the payload at their position."""
-    return shards.join(broadcast_if_small(manifest), list(on))
+def positional_lookup(manifest: DataFrame, shards: DataFrame, on: Sequence[str] = ("dataset", "shard", "index")) -> DataFrame:
+    """Manifest rows with the payload at their position; shards are named as in the manifest. Rows of either side without the other are left out."""
+    named = shards.drop("path", "caption").withColumn("shard", paths.shard_name(F.col("shard")))
+    return named.join(manifest, list(on))

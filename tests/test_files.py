@@ -312,3 +312,99 @@ def test_archive_stream(spark, workdir):
     # A fresh stream checkpoint sees all archives again and still adds nothing.
     ingest_archive_stream(spark, f"{workdir}/tars", config, f"{workdir}/check2")
     assert shards.read_shards(spark, config.root).count() == 12 == shards.stored_manifest(spark, config.root).count()
+
+
+# --- the shard store ------------------------------------------------------------------------------
+
+
+def encoded(spark, rows):
+    """``dataset, path, value`` as encoded samples."""
+    frame = spark.createDataFrame(rows, "dataset string, path string, value double")
+    return frame.select(
+        "path", F.lit("c").alias("caption"), F.array(F.col("value").cast("float")).alias("latent"), F.array(F.lit(1)).alias("shape"),
+        F.lit(16).alias("image_size"), F.lit("e").alias("encoder_id"), F.lit(None).cast("double").alias("latent_scale"), "dataset",
+    )
+
+
+@pytest.mark.parametrize("precision", ["fp32", "fp16"])
+def test_equal_rows_are_samples_of_their_own(spark, workdir, precision):
+    root = f"{workdir}/store"
+    rows = [("x", "p", float(i % 3)) for i in range(12)] + [("y", "q", 7.5)]
+    shards.write_shards(encoded(spark, rows).repartition(4), root, size=5, precision=precision)
+    got = shards.read_shards(spark, root)
+    assert sorted((r.dataset, r.shard, r["index"]) for r in got.collect()) == [("x", i // 5, i % 5) for i in range(12)] + [("y", 0, 0)]
+    assert sorted(r.latent[0] for r in got.collect()) == sorted(v for _, _, v in rows)
+    assert {r.latent_scale for r in got.collect()} == {0.18215}
+    shards.append_manifest(shards.unlisted_samples(spark, root), root)
+    assert shards.unlisted_samples(spark, root).count() == 0
+    both = shards.positional_lookup(shards.stored_manifest(spark, root), got).collect()
+    assert len(both) == 13 and all(r.caption == "c" and r.latent for r in both)
+
+
+def test_a_stopped_run_leaves_nothing(spark, workdir):
+    root = f"{workdir}/store"
+    with pytest.raises(ValueError, match="no shards"):
+        shards.read_shards(spark, root)
+    assert shards.stored_samples(spark, root).count() == 0
+    shards.write_shards(encoded(spark, [("x", f"{i}", 1.0) for i in range(7)]), root, size=5, commit=False)
+    assert shards.stored_samples(spark, root).count() == 0 == shards.next_shard_numbers(spark, root).count()
+    first = shards.write_shards(encoded(spark, [("x", f"{i}", 1.0) for i in range(7)]), root, size=5)
+    shards.write_shards(encoded(spark, [("x", f"{i}", 2.0) for i in range(3)] + [("y", "a", 3.0)]), root, size=5, precision="fp16")
+    assert sorted((r.dataset, r.shard, r["index"], r.latent[0]) for r in shards.read_shards(spark, root).collect()) == [
+        *[("x", i // 5, i % 5, 1.0) for i in range(7)], *[("x", 2, i, 2.0) for i in range(3)], ("y", 0, 0, 3.0),
+    ]
+    assert shards.read_shards(spark, root, ["y"]).count() == 1
+    assert sorted((r.dataset, r.first, r.next) for r in shards.committed(spark, root).filter(F.col("run") == first).collect()) == [("x", 0, 2)]
+
+
+def test_build_with_repeated_paths_and_half_precision(spark, workdir):
+    raw, root = f"{workdir}/raw", f"{workdir}/store"
+    pairs = png_pairs(spark, raw, 3)
+    twice = pairs.union(pairs.withColumn("caption", F.concat("caption", F.lit(" again"))))
+    assert tuple(build(spark, twice, raw, root, precision="fp16")) == (6, 0)
+    got = shards.read_shards(spark, root).collect()
+    assert len({(r.shard, r["index"]) for r in got}) == 6 and len({r.caption for r in got}) == 6
+    assert all(len(r.latent) == 12 for r in got)
+    assert tuple(build(spark, twice, raw, root, resuming=True)) == (0, 0)
+
+
+def test_any_error_of_a_decoder_fails_one_image(spark, workdir):
+    raw, root = f"{workdir}/raw", f"{workdir}/store"
+    pairs = png_pairs(spark, raw, 3)
+
+    def decoder(content):
+        if content == fx.png(16, 16, 1):
+            raise RuntimeError("codec")
+        return fx.read_png(content)
+
+    assert tuple(build(spark, pairs, raw, root, decoder=decoder)) == (2, 1)
+    with pytest.raises(Exception, match="Pillow"):
+        build(spark, pairs, raw, f"{workdir}/other", decoder=models.decode_rgb)
+
+
+def dense_resize(square, size):
+    """Every output from all inputs, in doubles."""
+    side = len(square)
+    ratio = side / size
+    stretch = max(ratio, 1.0)
+    x = np.abs((np.arange(side)[None, :] + 0.5 - ((np.arange(size) + 0.5) * ratio)[:, None]) / stretch)
+    w = np.where(x < 1, (1.5 * x - 2.5) * x * x + 1, np.where(x < 2, ((-0.5 * x + 2.5) * x - 4) * x + 2, 0.0))
+    w /= w.sum(axis=1, keepdims=True)
+    return np.clip(np.einsum("oi,ijc,pj->opc", w, square.astype(float), w, optimize=True), 0, 255)
+
+
+@pytest.mark.parametrize(("side", "size"), [(300, 256), (37, 8), (8, 37), (600, 7), (257, 256)])
+def test_resize_equals_dense_weights(side, size):
+    image = np.random.default_rng(side).integers(0, 256, (side, side, 3), dtype=np.uint8)
+    assert np.abs(models.crop_and_resize(image, size) - dense_resize(image, size)).max() <= 0.51
+
+
+def test_resize_of_a_large_image_in_bounded_memory():
+    import tracemalloc
+
+    image = np.random.default_rng(0).integers(0, 256, (4000, 4000, 3), dtype=np.uint8)
+    tracemalloc.start()
+    out = models.crop_and_resize(image, 256)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out.shape == (256, 256, 3) and peak < 100e6
