@@ -240,3 +240,42 @@ def uri_parts(spark, sf_dir):
     uri = F.regexp_replace("url", "^[a-z]+://", "s3://")
     parts = b.table(spark, sf_dir, "pages").select("page_id", paths.uri_parts(uri).alias("p"))
     return parts.select("page_id", "p.bucket", "p.key")
+
+
+def _hex(value, digits: int, little: bool = False):
+    """An integer column as hex digits, most or least significant byte first."""
+    text = F.lpad(F.hex(value.cast("bigint")), digits, "0")
+    return F.concat(*[F.substring(text, i, 2) for i in range(digits - 1, 0, -2)]) if little else text
+
+
+def _image_bytes(kind, width, height):
+    """The smallest file of each type that has a size: a head and no pixels; and one that is cut off."""
+    w, h = (lambda digits, little=False: _hex(width, digits, little)), (lambda digits, little=False: _hex(height, digits, little))
+    ihdr = F.concat(F.lit("49484452"), w(8), h(8), F.lit("0802000000"))
+    files = [
+        F.concat(F.lit("89504E470D0A1A0A0000000D"), ihdr, _hex(F.crc32(F.unhex(ihdr)), 8), F.lit("0000000049454E44AE426082")),
+        F.concat(F.lit("FFD8FFE000041234FFC0000B08"), h(4), w(4), F.lit("01011100")),
+        F.concat(F.lit("424D"), F.lit("00" * 12), F.lit("28000000"), w(8, True), h(8, True)),
+        F.concat(F.lit("49492A0008000000020000010400"), F.lit("01000000"), w(8, True), F.lit("010104000100" + "0000"), h(8, True), F.lit("00000000")),
+        F.concat(F.lit("4D4D002A000000080002" + "0100000300000001"), w(4), F.lit("0000" + "0101000300000001"), h(4), F.lit("0000" + "00000000")),
+        F.concat(F.lit("5249464616000000" + "57454250" + "565038580A00000000000000"), _hex(width - 1, 6, True), _hex(height - 1, 6, True)),
+        F.concat(F.lit("89504E470D0A1A0A0000000D"), ihdr),
+    ]
+    return F.unhex(F.element_at(F.array(*files), (kind + 1).cast("int")))
+
+
+@query(
+    "image_headers",
+    """SELECT doc_id, doc_id % 7 <> 6 AS ok, CASE WHEN doc_id % 7 <> 6 THEN (doc_id % 900 + 1)::INTEGER END AS width,
+    CASE WHEN doc_id % 7 <> 6 THEN (doc_id * 7 % 600 + 1)::INTEGER END AS height,
+    doc_id % 7 <> 6 AND least(doc_id % 900 + 1, doc_id * 7 % 600 + 1) >= 256
+      AND (doc_id % 900 + 1)::DOUBLE / (doc_id * 7 % 600 + 1) BETWEEN 0.5 AND 2 AS hashed FROM documents""",
+)
+def image_headers(spark, sf_dir):
+    """A file head of each type per document, judged by its bytes; those within the limits are hashed, and the hash is that of the bytes."""
+    width, height = F.col("doc_id") % 900 + 1, F.col("doc_id") * 7 % 600 + 1
+    docs = b.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), _image_bytes(F.col("doc_id") % 7, width, height).alias("content"))
+    found = src.examine_images(docs, hashing=True).join(docs.select("path", F.sha1("content").alias("own")), "path")
+    return found.select(
+        F.col("path").cast("bigint").alias("doc_id"), "verdict.ok", "verdict.width", "verdict.height", F.coalesce(F.col("sha1") == F.col("own"), F.lit(False)).alias("hashed")
+    )

@@ -14,6 +14,11 @@ from corpusmill.sources import files as src
 from corpusmill.sources import text as tx
 
 
+ARROW_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+FILES_PER_BATCH = 64  # whole files that a task holds at a time
+AUDIT_FILES = 1000
+
+
 @dataclass
 class ScanReport:
     """``reasons`` (reason, n), ``summary`` (candidates, valid, rejected) and ``valid`` (the kept keys)."""
@@ -47,16 +52,12 @@ def scan_report(
 
 
 def judge_images(
-    images: DataFrame,
-    min_side: int = rules.MIN_SIDE,
-    min_aspect: float = rules.MIN_ASPECT,
-    max_aspect: float = rules.MAX_ASPECT,
-    contents: DataFrame | None = None,
+    images: DataFrame, min_side: int = rules.MIN_SIDE, min_aspect: float = rules.MIN_ASPECT, max_aspect: float = rules.MAX_ASPECT, hashed: bool = False
 ) -> DataFrame:
-    """``path, reason`` of decoded images (``path, verdict``).
+    """``path, reason`` of images with a verdict (``path, verdict``).
 
-    With ``contents`` (``path, content`` of the same files), exact duplicates are rejected too. Only
-    files that pass the size rules are read for hashing.
+    With ``hashed``, ``sha1`` holds the hash of each file within the limits: exact duplicates are rejected too, and a file without a hash is
+    ``hash_fail``.
     """
     width, height = F.col("verdict.width"), F.col("verdict.height")
     checks = [
@@ -64,19 +65,14 @@ def judge_images(
         (rules.TOO_SMALL, rules.too_small(width, height, min_side)),
         (rules.BAD_ASPECT, ~rules.within_aspect(width, height, min_aspect, max_aspect)),
     ]
-    judged = images.select(
-        "path",
-        F.when(~F.col("verdict.ok"), F.col("verdict.reason")).otherwise(rules.first_reject_reason(checks)).alias("reason"),
-    )
-    if contents is None:
-        return judged
-    hashed = contents.select(plain_path(F.col("path")).alias("path"), F.sha1("content").alias("_sha1"))
-    passing = judged.filter(F.col("reason").isNull()).select(plain_path(F.col("path")).alias("_p"), "path")
-    sums = passing.join(hashed.withColumnRenamed("path", "_p"), "_p", "left").select("path", "_sha1")
-    again = curation.judge(sums, [(rules.HASH_FAIL, F.col("_sha1").isNull())], "path", F.col("_sha1"))
-    return judged.join(again.withColumnRenamed("reason", "_more"), "path", "left").select(
-        "path", F.coalesce("reason", "_more").alias("reason")
-    )
+    first = F.when(~F.col("verdict.ok"), F.col("verdict.reason")).otherwise(rules.first_reject_reason(checks))
+    if not hashed:
+        return images.select("path", first.alias("reason"))
+    judged = images.select("path", F.coalesce(first, F.when(F.col("sha1").isNull(), F.lit(rules.HASH_FAIL))).alias("reason"), "sha1")
+    passing = judged.withColumn("sha1", F.when(F.col("reason").isNull(), F.col("sha1")))
+    kept = curation.keepers(passing, "sha1", "path").select(F.col("kept").alias("path"), F.lit(True).alias("_kept"))
+    duplicate = F.when(F.col("reason").isNull() & F.col("_kept").isNull(), F.lit(rules.DUPLICATE))
+    return judged.join(kept, "path", "left").select("path", F.coalesce("reason", duplicate).alias("reason"))
 
 
 def plain_path(path: Column) -> Column:
@@ -106,17 +102,21 @@ def scan_corpus(
 ) -> CorpusScan:
     """Scan a folder of images and write ``out_dir/filelist``.
 
-    Images are decoded once: the verdicts are checkpointed. ``store`` lists the paths the files get
-    under ``out_dir/images``; moving the bytes is left to the storage's own tools.
+    The files are read once: sizes from their headers and, with ``dedupe``, hashes of those within the limits come out of the same pass,
+    as narrow rows that are checkpointed. ``store`` lists the paths the files get under ``out_dir/images``; moving the bytes is left to
+    the storage's own tools. A seeded sample of ``audit`` kept files is decoded in full.
     """
     from corpusmill.session import shared_folder
 
     shared_folder(spark)
-    images = src.read_images(spark, raw_dir).select("path", "verdict").checkpoint()
-    contents = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
-        "pathGlobFilter", paths.image_glob()
-    ).load(raw_dir) if dedupe else None
-    judged = judge_images(images, min_side, min_aspect, max_aspect, contents)
+    limits = (min_side, min_aspect, max_aspect)
+    batch = spark.conf.get(ARROW_BATCH)
+    spark.conf.set(ARROW_BATCH, str(FILES_PER_BATCH))
+    try:
+        images = src.examine_images(src.read_files(spark, raw_dir), *limits, hashing=dedupe).checkpoint()
+    finally:
+        spark.conf.set(ARROW_BATCH, batch)
+    judged = judge_images(images, *limits, hashed=dedupe)
     kept = curation.keep_valid(judged)
     if strict and kept.isEmpty():
         raise ValueError(f"no valid images below {raw_dir}: check the data or relax the filters")
@@ -124,7 +124,7 @@ def scan_corpus(
         paths.stored_path(plain_path(F.col("path")), plain_root(raw_dir), out_dir, store).alias("path")
     )
     tx.write_filelist(listed, f"{out_dir.rstrip('/')}/filelist")
-    failures = audit_decode(spark, kept, raw_dir, audit, seed)
+    failures = audit_decode(spark, kept, audit, seed)
     if strict and not failures.isEmpty():
         raise ValueError(f"audit failed on {failures.head()['path']}")
     report = ScanReport(
@@ -137,21 +137,30 @@ def plain_root(root: str) -> str:
     return "/" + root[len("file:"):].lstrip("/") if root.startswith("file:") else root
 
 
-def audit_decode(spark: SparkSession, kept: DataFrame, raw_dir: str, n: int, seed: int) -> DataFrame:
-    """Decode a seeded sample of kept files again in full; returns the failures."""
-    sample = sampling.sample_n(kept.select("path"), n, ["path"], seed)
-    files = [row["path"] for row in sample.collect()] if n <= sampling.AUDIT_SIZE * 100 else None
-    if files == []:
-        return kept.select("path").limit(0)
-    if files is not None:
-        # The sample is a fixed small number of names, so only those files are opened.
-        again = spark.read.format("image").load(files)
-    else:
-        again = spark.read.format("image").option("recursiveFileLookup", True).load(raw_dir)
-    decoded = again.select(F.col("image.origin").alias("path"), rules.verdict(F.col("image.width"), F.col("image.height")).alias("verdict"))
+def audit_decode(spark: SparkSession, kept: DataFrame, n: int, seed: int) -> DataFrame:
+    """Decode a seeded sample of kept files again in full; returns ``path`` of the failures.
+
+    The JVM's codecs decode; types they lack (WebP) have their headers read again. Only the sampled files are opened, ``AUDIT_FILES`` in one read.
+    """
+    sample = sampling.sample_n(kept.select("path"), n, ["path"], seed).checkpoint()
+    files = [row["path"] for row in sample.orderBy("path").collect()]  # n names
+    empty = spark.createDataFrame([], "path string, ok boolean")
+    decoded = empty
+    for at in range(0, len(files), AUDIT_FILES):
+        part = [src.glob_escaped(f) for f in files[at : at + AUDIT_FILES]]
+        webp = [f for f in part if f.lower().endswith(".webp")]
+        others = [f for f in part if not f.lower().endswith(".webp")]
+        if others:
+            images = spark.read.format("image").load(others)
+            found = rules.verdict(F.col("image.width"), F.col("image.height"))
+            decoded = decoded.union(images.select(src.unescaped(F.col("image.origin")).alias("path"), found["ok"]))
+        if webp:
+            again = src.examine_images(spark.read.format("binaryFile").load(webp))
+            decoded = decoded.union(again.select("path", "verdict.ok"))
+    plain = decoded.select(plain_path(F.col("path")).alias("path"), "ok")
     return (
         sample.select(plain_path(F.col("path")).alias("path"))
-        .join(decoded.select(plain_path(F.col("path")).alias("path"), "verdict.ok"), "path", "left")
+        .join(plain, "path", "left")
         .filter(~F.coalesce("ok", F.lit(False)))
         .select("path")
     )

@@ -6,14 +6,17 @@ candidates nor counted as corrupt.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+import re
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import paths
-from corpusmill.functions.rules import verdict
-from corpusmill.operators import ordered
+from corpusmill.functions.headers import BadHeader, image_size
+from corpusmill.functions.rules import MAX_ASPECT, MIN_ASPECT, MIN_SIDE, verdict
 from corpusmill.operators.sampling import shuffled
 
 # Names of saved checkpoints (group 1 is the step), and of the latest one.
@@ -45,6 +48,53 @@ def keep_extensions(
     )
 
 
+def _examined(batches: Iterator[pa.RecordBatch], limits: tuple[int, float, float], hashing: bool) -> Iterator[pa.RecordBatch]:
+    min_side, low, high = limits
+    for batch in batches:
+        sizes, sums = [], []
+        for value in batch.column(1):
+            data = value.as_py()
+            try:
+                size = image_size(data or b"")
+            except BadHeader:
+                size = None
+            sizes.append(size)
+            passes = size is not None and min(size) >= min_side and low <= size[0] / size[1] <= high
+            sums.append(hashlib.sha1(data).hexdigest() if hashing and passes else None)
+        width, height = (pa.array([s[i] if s else None for s in sizes], type=pa.int64()) for i in (0, 1))
+        yield pa.RecordBatch.from_arrays([batch.column(0), width, height, pa.array(sums, type=pa.string())], names=["path", "width", "height", "sha1"])
+
+
+def examine_images(
+    rows: DataFrame, min_side: int = MIN_SIDE, min_aspect: float = MIN_ASPECT, max_aspect: float = MAX_ASPECT, hashing: bool = False
+) -> DataFrame:
+    """``path, verdict, sha1`` of files given as ``path, content``, in one pass over the bytes.
+
+    Sizes come from the headers (:mod:`corpusmill.functions.headers`). With ``hashing``, files within the limits are hashed while their bytes are at hand; the others
+    have no hash. NULL content is corrupt. Only narrow rows leave the task.
+    """
+    found = rows.select("path", "content").mapInArrow(
+        lambda batches: _examined(batches, (min_side, min_aspect, max_aspect), hashing), "path string, width bigint, height bigint, sha1 string"
+    )
+    return found.select("path", verdict(F.coalesce("width", F.lit(-1)), F.coalesce("height", F.lit(-1))).alias("verdict"), "sha1")
+
+
+def read_files(spark: SparkSession, root: str, extensions: Sequence[str] = paths.IMAGE_EXTENSIONS) -> DataFrame:
+    """``path, content`` of the candidate files: one scan, names as they are on the storage."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", paths.image_glob(extensions)).load(root)
+    return keep_extensions(files.select("path", "content"), F.col("path"), extensions).drop("ext")
+
+
+def unescaped(path: Column) -> Column:
+    """A path that the image source has written as a URI, as it is on the storage."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def glob_escaped(path: str) -> str:
+    """A path to be loaded as such, not as a pattern."""
+    return re.sub(r"([\\\[\]{}*?,])", r"\\\1", path)
+
+
 def read_images(
     spark: SparkSession, root: str, extensions: Sequence[str] = paths.IMAGE_EXTENSIONS
 ) -> DataFrame:
@@ -59,7 +109,7 @@ def read_images(
         .option("pathGlobFilter", paths.image_glob(extensions))
         .load(root)
         .select(
-            F.col("image.origin").alias("path"),
+            unescaped(F.col("image.origin")).alias("path"),
             verdict(F.col("image.width"), F.col("image.height")).alias("verdict"),
             F.col("image.nChannels").alias("n_channels"),
             F.col("image.data").alias("data"),
@@ -110,8 +160,3 @@ def list_checkpoints(names: DataFrame, shown: int = 10, pattern: str = CHECKPOIN
 def latest_checkpoint(names: DataFrame, latest: str = LATEST_CHECKPOINT) -> DataFrame:
     """The latest checkpoint, when it is there."""
     return names.select("name").filter(paths.basename(F.col("name")) == latest).distinct()
-
-
-def in_listing_order(files: DataFrame) -> DataFrame:
-    """Give candidates their ordinal: scan order is path order."""
-    return ordered.with_ordinal(files, ["path"])

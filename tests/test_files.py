@@ -408,3 +408,90 @@ def test_resize_of_a_large_image_in_bounded_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert out.shape == (256, 256, 3) and peak < 100e6
+
+
+# --- image heads ----------------------------------------------------------------------------------
+
+
+def heads(width, height):
+    """One file head of each type and its cut forms are judged by."""
+    import struct
+    from zlib import crc32
+
+    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", crc32(kind + data))
+    png = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, 8, 2, 0, 0, 0)) + chunk(b"IDAT", b"x" * 9) + chunk(b"IEND", b"")
+    jpeg = b"\xff\xd8\xff\xe0\x00\x06abcd\xff\xff\xc4\x00\x04\x01\x02\xff\xc2" + struct.pack(">HBHHB", 8, 8, height, width, 0) + b"\xff\xda"
+    riff = lambda body: b"RIFF" + struct.pack("<I", len(body) + 4) + b"WEBP" + body
+    return {
+        "a.png": png,
+        "a.jpg": jpeg,
+        "a.bmp": b"BM" + bytes(12) + struct.pack("<Iii", 40, width, -height),
+        "old.bmp": b"BM" + bytes(12) + struct.pack("<IHH", 12, width, height),
+        "a.tiff": b"II*\0" + struct.pack("<IHHHIIHHIHH", 8, 2, 256, 4, 1, width, 257, 3, 1, height, 0),
+        "b.tiff": b"MM\0*" + struct.pack(">IHHHIIHHIHH", 8, 2, 256, 4, 1, width, 257, 3, 1, height, 0),
+        "x.webp": riff(b"VP8X" + struct.pack("<I", 10) + bytes(4) + (width - 1).to_bytes(3, "little") + (height - 1).to_bytes(3, "little")),
+        "l.webp": riff(b"VP8L" + struct.pack("<IB", 5, 0x2F) + struct.pack("<I", width - 1 | height - 1 << 14)),
+        "v.webp": riff(b"VP8 " + struct.pack("<I", 10) + b"\0\0\0\x9d\x01\x2a" + struct.pack("<HH", width, height)),
+    }
+
+
+@pytest.mark.parametrize("name", list(heads(1, 1)))
+def test_image_sizes_from_heads(name):
+    from corpusmill.functions.headers import BadHeader, image_size
+
+    data = heads(700, 300)[name]
+    assert image_size(data) == (700, 300)
+    for cut in range(len(data) - 1):
+        try:
+            assert image_size(data[:cut]) == (700, 300)
+        except BadHeader:
+            pass
+    for other in (b"", b"no image", data[:12] + b"\0" * 60, b"GIF89a" + data):
+        with pytest.raises(BadHeader):
+            image_size(other)
+
+
+ODD = ["sp ace.png", "per%20cent.png", "br[1].png", "é.png", "plus+.png", "{a,b}.png", "sub dir/x y.PNG"]
+
+
+def test_scan_of_odd_names_and_webp_in_one_read(spark, workdir):
+    raw = f"{workdir}/raw"
+    for i, name in enumerate(ODD):
+        fx.write(f"{raw}/{name}", fx.png(300, 300, i))
+    fx.write(f"{raw}/copy [2].png", fx.png(300, 300, 0))
+    fx.write(f"{raw}/good.webp", heads(400, 300)["x.webp"])
+    fx.write(f"{raw}/bad.webp", b"RIFF....WEBP")
+    scan = scan_corpus(spark, raw, f"{workdir}/out", dedupe=True)
+    assert {r.reason: r.n for r in scan.report.reasons.collect()} == {"corrupt_or_unreadable": 1, "duplicate_sha1": 1}
+    listed = sorted(r.path for r in text.read_filelist(spark, f"{workdir}/out/filelist").collect())
+    kept = [n for n in ODD if n != "sp ace.png"] + ["copy [2].png", "good.webp"]
+    assert listed == sorted(f"{raw}/{n}" for n in kept)
+    assert {r.path.split("/raw/")[1] for r in files.read_images(spark, raw).collect()} >= set(ODD)
+    plan = files.examine_images(files.read_files(spark, raw), hashing=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan binaryFile") == 1 and "Exchange" not in plan
+
+
+def test_audit_finds_files_that_do_not_decode(spark, workdir):
+    from corpusmill.plans.scan import audit_decode
+
+    raw = f"{workdir}/raw"
+    fx.write(f"{raw}/good [1].png", fx.png(300, 300, 1))
+    fx.write(f"{raw}/no pixels.png", heads(300, 300)["a.png"])
+    kept = files.read_files(spark, raw).select("path")
+    assert [r.path.rsplit("/", 1)[1] for r in audit_decode(spark, kept, 100, 1).collect()] == ["no pixels.png"]
+    assert audit_decode(spark, kept.limit(0), 100, 1).count() == 0
+    with pytest.raises(ValueError, match="audit failed"):
+        scan_corpus(spark, raw, f"{workdir}/out")
+
+
+def test_hash_failures_are_their_own_reason(spark):
+    from corpusmill.plans.scan import judge_images
+
+    rows = spark.createDataFrame(
+        [("a", (True, "ok", 300, 300), "s"), ("b", (True, "ok", 300, 300), None), ("c", (True, "ok", 300, 300), "s"), ("d", (True, "ok", 3, 3), None)],
+        "path string, verdict struct<ok: boolean, reason: string, width: int, height: int>, sha1 string",
+    )
+    got = {r.path: r.reason for r in judge_images(rows, hashed=True).collect()}
+    assert got == {"a": None, "b": "hash_fail", "c": "duplicate_sha1", "d": "too_small"}
+    nothing = spark.createDataFrame([("n", None)], "path string, content binary")
+    assert not files.examine_images(nothing, hashing=True).head().verdict.ok
