@@ -71,11 +71,7 @@ def loss_describe(spark, sf_dir):
 
 @query(
     "loss_ema",
-    b.sql("", f"SELECT event_id, {sql_r6('ema')} AS ema FROM folded", recursive="""
-    numbered AS (SELECT event_id, event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS rn FROM events),
-    folded AS (SELECT event_id, event_type, rn, value AS ema FROM numbered WHERE rn = 1
-        UNION ALL SELECT n.event_id, n.event_type, n.rn, 0.98::DOUBLE * f.ema + (1 - 0.98::DOUBLE) * n.value
-        FROM folded f JOIN numbered n ON n.event_type = f.event_type AND n.rn = f.rn + 1)"""),
+    b.sql("", f"SELECT event_id, {sql_r6('ema')} AS ema FROM folded", recursive=b.FOLDED),
 )
 def loss_ema(spark, sf_dir):
     rows = b.table(spark, sf_dir, "events").select("event_id", "event_type", "value")

@@ -287,3 +287,11 @@ def sql(views: str, select: str, recursive: str = "") -> str:
     if recursive:
         return "WITH RECURSIVE " + ", ".join([*parts, recursive]) + " " + select
     return ("WITH " + ", ".join(parts) + " " if parts else "") + select
+
+
+# The moving average of each event type, as a recursion.
+FOLDED = """
+    numbered AS (SELECT event_id, event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS rn FROM events),
+    folded AS (SELECT event_id, event_type, rn, value AS ema FROM numbered WHERE rn = 1
+        UNION ALL SELECT n.event_id, n.event_type, n.rn, 0.98::DOUBLE * f.ema + (1 - 0.98::DOUBLE) * n.value
+        FROM folded f JOIN numbered n ON n.event_type = f.event_type AND n.rn = f.rn + 1)"""

@@ -10,6 +10,8 @@ from corpusmill.functions import randomness as rnd
 from corpusmill.functions import vectors as vec
 from corpusmill.operators import sampling
 from corpusmill.plans import training
+from corpusmill.session import scratch_folder
+from corpusmill.sources import shards as store
 
 _UNIFORM_SEED, _EPOCH_SEED, _LABEL_SEED = 3, 5, 2
 _EPOCH_BATCH = 128
@@ -113,3 +115,35 @@ def epoch_batches(spark, sf_dir):
     return batches.groupBy("epoch", "batch").agg(
         F.count("*").alias("rows"), F.min("sample").alias("first_sample"), F.sum("sample").alias("sample_sum")
     )
+
+
+@query(
+    "weighted_draws",
+    b.sql("shards", f"""SELECT step, CAST(slot AS INTEGER) AS slot, dataset, shard, index, t FROM
+    (SELECT step, slot, {b.sql_uniform_int('(SELECT sum(sample % 4 * 500000) FROM shards)', b.SHUFFLE_SEED, "'weight'", 'step', 'slot')} AS ticket,
+        {b.sql_uniform_int(str(b.TIMESTEPS), b.SHUFFLE_SEED, "'t'", 'step', 'slot')} AS t
+        FROM (SELECT vec_id AS step, unnest(range({b.BATCH})) AS slot FROM embeddings))
+    JOIN (SELECT dataset, shard, index, sample % 4 * 500000 AS units, sum(sample % 4 * 500000) OVER (ORDER BY dataset, shard, index) AS upto FROM shards)
+    ON ticket >= upto - units AND ticket < upto"""),
+)
+def weighted_draws(spark, sf_dir):
+    samples = b.shard_keys(spark, sf_dir).withColumn("weight", F.col("sample") % 4 / 2)
+    return sampling.draw_slots_weighted(b.steps(spark, sf_dir), samples, b.BATCH, b.TIMESTEPS, b.SHUFFLE_SEED, method="md5")
+
+
+@query(
+    "gather_stored",
+    b.sql("draws", f"""SELECT step, CAST(slot AS INTEGER) AS slot, sample, {sql_r6('list_sum(list_transform(x, lambda v: v::FLOAT::DOUBLE))')} AS total
+    FROM draws JOIN shards USING (dataset, shard, index)"""),
+)
+def gather_stored(spark, sf_dir):
+    """The samples written to a store, and of each draw the payload read from it."""
+    root = scratch_folder(spark, "store")
+    encoded = b.latents(spark, sf_dir).select(
+        F.col("sample").cast("string").alias("path"), F.lit("").alias("caption"), F.col("x").cast("array<float>").alias("latent"), F.array(F.size("x")).alias("shape"),
+        F.lit(16).alias("image_size"), F.lit("none").alias("encoder_id"), F.lit(1.0).alias("latent_scale"), "dataset", F.col("sample").alias("ordinal"),
+    )
+    store.write_shards(encoded, root, ["ordinal"], b.SHARD_ROWS)
+    rows = store.gather_stored(_draws(spark, sf_dir)[1].drop("t"), root, ["path", "latent"])
+    total = vec.total(F.col("latent").cast("array<double>"))
+    return rows.select("step", "slot", F.col("path").cast("bigint").alias("sample"), r6(total).alias("total"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusmill.catalog import bindings as b
-from corpusmill.catalog.registry import query
+from corpusmill.catalog.registry import query, r6, sql_r6
 from corpusmill.session import scratch_folder
 from corpusmill.sources import text as text_src
 from corpusmill.streaming import dedupe, ingest, monitor
@@ -57,3 +57,11 @@ def stream_loss(spark, sf_dir):
     lines = b.log_lines_of(_stream(spark, sf_dir, "events"))
     ingest.ingest_available(monitor.monitor_loss(text_src.parse_train_log(lines)), sink, checkpoint)
     return spark.read.parquet(sink).select("step", "loss")
+
+
+@query("stream_smoothed", b.sql("", f"SELECT event_type AS run, event_id AS step, {sql_r6('ema')} AS ema FROM folded", recursive=b.FOLDED))
+def stream_smoothed(spark, sf_dir):
+    sink, checkpoint = scratch_folder(spark, "sink"), scratch_folder(spark, "stream")
+    rows = _stream(spark, sf_dir, "events").select(F.col("event_type").alias("run"), F.col("event_id").alias("step"), F.col("value").cast("double").alias("loss"))
+    ingest.ingest_available(monitor.smoothed_loss(rows), sink, checkpoint)
+    return spark.read.parquet(sink).select("run", "step", r6(F.col("ema")).alias("ema"))

@@ -5,14 +5,18 @@ Every draw is a function of a row's key, so results do not depend on partitionin
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill.functions import randomness as rnd
 from corpusmill.operators import ordered
 from corpusmill.operators.sizing import broadcast_if_small
+from corpusmill.session import shared_folder
 
 # The audit seed and size, the share of dropped labels and the "no label" class.
 AUDIT_SEED = 1337
@@ -83,6 +87,66 @@ def _with_draws(
     )
 
 
+# Parts of a whole that a weight is rounded to, so that sums are exact in any order.
+WEIGHT_UNITS = 1_000_000
+
+
+def _upto(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    """Replace the ticket, the last column, by the position of its shard and the ticket within the shard."""
+    ends = shared.value
+    for batch in batches:
+        ticket = batch.column(batch.num_columns - 1).to_numpy()
+        shard = np.searchsorted(ends, ticket, side="right")
+        rest = ticket - np.where(shard > 0, ends[np.maximum(shard - 1, 0)], 0)
+        names = [*batch.schema.names[:-1], "position", "_rest"]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(shard), pa.array(rest)], names=names)
+
+
+def _within(draws: pa.Table, samples: pa.Table) -> pa.Table:
+    """The sample of each draw of one shard."""
+    samples = samples.sort_by("index")
+    ends = np.cumsum(samples.column("units").to_numpy())
+    at = pa.array(np.searchsorted(ends, draws.column("_rest").to_numpy(), side="right"))
+    return draws.drop_columns(["_rest", "position"]).append_column("index", samples.column("index").take(at))
+
+
+def draw_slots_weighted(
+    steps: DataFrame, samples: DataFrame, batch: int, timesteps: int, seed: int, weight: str = "weight", method: str = "xxhash"
+) -> DataFrame:
+    """``step, slot, t, dataset, shard, index``: samples drawn with replacement in proportion to their weight, whatever shard they are in.
+
+    ``samples`` has ``dataset, shard, index`` and the weight, 0 or NULL for never. Weights are rounded to units of 1 / ``WEIGHT_UNITS``, so that all
+    sums are whole numbers and a draw depends on (seed, step, slot) and the samples alone, on no partitioning. A draw is a ticket: prefix sums over
+    shards (one number per shard is sent to the tasks) lead it to a shard, those within the shard to a sample. Only the draws are moved, to
+    the narrow rows of their shard.
+    """
+    spark = steps.sparkSession
+    shared_folder(spark)
+    units = F.round(F.col(weight).cast("double") * WEIGHT_UNITS).cast("bigint")
+    kept = samples.select("dataset", "shard", "index", units.alias("units")).filter("units > 0").checkpoint()
+    totals = kept.groupBy("dataset", "shard").agg(F.sum("units").alias("total"))
+    shards = ordered.running_sum(totals, "total", ["dataset", "shard"], name="upto").checkpoint()
+    ends = np.array([r["upto"] for r in shards.select("upto").orderBy("upto").collect()], dtype=np.int64)
+    if not len(ends):
+        raise ValueError("no sample has a weight")
+    order = Window.orderBy("upto")  # one row per shard
+    numbered = shards.select("dataset", "shard", (F.row_number().over(order) - 1).cast("bigint").alias("position"))
+    step, slot = F.col("step"), F.col("slot")
+    tickets = (
+        steps.select("step", F.explode(F.sequence(F.lit(0), F.lit(batch - 1))).alias("slot"))
+        .withColumn("t", rnd.uniform_int(timesteps, seed, F.lit("t"), step, slot, method=method))
+        .withColumn("ticket", rnd.uniform_int(int(ends[-1]), seed, F.lit("weight"), step, slot, method=method))
+    )
+    shared = spark.sparkContext.broadcast(ends)
+    fields = [f for f in tickets.schema.fields if f.name != "ticket"]
+    schema = T.StructType([*fields, T.StructField("position", T.LongType()), T.StructField("_rest", T.LongType())])
+    placed = tickets.mapInArrow(lambda batches: _upto(batches, shared), schema).join(broadcast_if_small(numbered), "position")
+    on = ["dataset", "shard"]
+    placed = placed.select("step", "slot", "t", *on, "position", "_rest")
+    out = T.StructType([*[f for f in placed.schema.fields if f.name not in ("position", "_rest")], kept.schema["index"]])
+    return placed.groupBy(*on).cogroup(kept.groupBy(*on)).applyInArrow(lambda a, b: _within(a, b), out)
+
+
 def draw_slots_by_sample(
     steps: DataFrame, total_rows: int, batch: int, timesteps: int, seed: int, method: str = "md5"
 ) -> DataFrame:

@@ -11,6 +11,7 @@ from corpusmill.functions import paths
 from corpusmill.functions import schedule as sched
 from corpusmill.functions import vectors as vec
 from corpusmill.operators import models, noising, sampling
+from corpusmill.sources import shards as store
 
 # Steps of a session, rows per step, timesteps.
 STEPS = 5000
@@ -72,6 +73,13 @@ def training_rows(
     return noising.noised(rows, schedule, ["step", "slot"], seed, x, method)
 
 
+def stored_training_rows(root: str, draws: DataFrame, schedule: DataFrame, seed: int = 0, method: str = "philox") -> DataFrame:
+    """The rows of given draws from a shard store, with ``latent, eps, xt``. The draws are moved to the shards in equal parts, so the payload is
+    read once, where the noise is made, and never shuffled."""
+    rows = store.gather_stored(draws, root)
+    return noising.noised(rows, schedule, ["step", "slot"], seed, "latent", method)
+
+
 def denoise_eval(
     rows: DataFrame, model: Callable[[], models.Model], size: int, inputs: Sequence[str] = ("xt", "t", "y"),
     bucket: int = 100, batch_size: int = 32,

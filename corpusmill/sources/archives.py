@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from corpusmill.functions import paths
 from corpusmill.session import shared_folder
-from corpusmill.sources.files import list_files
+from corpusmill.sources.files import list_files, open_file
 
 CHUNK_BYTES = 64 << 20
 BATCH_BYTES = 16 << 20
@@ -53,21 +53,11 @@ _WALK_ARROW = pa.schema(
 )
 
 
-def _open(uri: str):
-    """A file by the path Spark lists it under, whose characters are not escaped."""
-    if uri.startswith(("/", "file:")):
-        return fs.LocalFileSystem().open_input_file("/" + uri.removeprefix("file:").lstrip("/"))
-    scheme, _, rest = uri.partition("://")
-    authority, _, path = rest.partition("/")
-    system, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
-    return system.open_input_file(f"{base.rstrip('/')}/{path}")
-
-
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes = []
         for uri in batch.column(0).to_pylist():
-            with _open(uri) as stream:
+            with open_file(uri) as stream:
                 sizes.append(stream.size())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, type=pa.int64())], names=["archive", "length"])
 
@@ -121,7 +111,7 @@ def _chain(stream, start: int, stop: int) -> Iterator[tarfile.TarInfo | int | No
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for given in batch.to_pylist():
-            with _open(given["archive"]) as raw:
+            with open_file(given["archive"]) as raw:
                 yield from _walk_range(io.BufferedReader(raw, _BUFFER), given)
 
 
@@ -275,7 +265,7 @@ def _contents(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for uri, members in pdf.groupby("archive", sort=False):
             # Cut the rows so that one batch holds a bounded number of bytes (or one larger member).
             parts = (members["size"].cumsum() - members["size"]) // BATCH_BYTES
-            with _open(uri) as stream:
+            with open_file(uri) as stream:
                 for _, part in members.groupby(parts, sort=False):
                     yield part.assign(content=[_read(stream, at, n) for at, n in zip(part["offset"], part["size"])])
 

@@ -10,12 +10,18 @@ again writes every shard once. The next free number comes from these records, no
 
 from __future__ import annotations
 
+import math
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from corpusmill.functions import paths
 from corpusmill.functions.text import MANIFEST_SCHEMA, manifest_line, parsed_manifest_line
@@ -23,13 +29,17 @@ from corpusmill.functions.vectors import LATENT_SCALE
 from corpusmill.operators import ordered
 from corpusmill.operators.models import cast_precision, unpack_half
 from corpusmill.operators.sizing import broadcast_if_small
-from corpusmill.session import scratch_folder
-from corpusmill.sources.files import list_files
+from corpusmill.session import scratch_folder, shared_folder
+from corpusmill.sources.files import list_files, open_file
 
 # Fixed value: samples per shard.
 SHARD_SIZE = 2000
 # Datasets named in a partition filter.
 MAX_PRUNED = 1000
+# Bytes of a row group, so that a few drawn rows do not read a whole shard; drawn rows of a task, and of a batch it returns.
+GROUP_BYTES = 4 << 20
+TASK_DRAWS = 5000
+_BATCH_ROWS = 256
 
 HALF = "fp16"
 ROW = "_row"
@@ -173,6 +183,7 @@ def write_shards(
         .repartition("dataset", "shard")
         .sortWithinPartitions("dataset", "shard", "index")
         .write.mode("append")
+        .option("parquet.block.size", GROUP_BYTES)
         .partitionBy("run", "dataset", "shard")
         .parquet(shard_folder(root))
     )
@@ -248,3 +259,93 @@ def positional_lookup(manifest: DataFrame, shards: DataFrame, on: Sequence[str]
     """Manifest rows with the payload at their position; shards are named as in the manifest. Rows of either side without the other are left out."""
     named = shards.drop("path", "caption").withColumn("shard", paths.shard_name(F.col("shard")))
     return named.join(manifest, list(on))
+
+
+# --- drawn rows -----------------------------------------------------------------------------------
+
+_PAYLOAD = {"path": "string", "caption": "string", "latent": "array<float>", "shape": "array<int>", "latent_scale": "double"}
+
+
+def stored_files(spark: SparkSession, root: str, datasets: Sequence[str] | None = None) -> DataFrame:
+    """``dataset, shard, file`` of the committed shards, from the listing alone."""
+    runs = [r["run"] for r in committed(spark, root, datasets).select("run").distinct().collect()]
+    if not runs:
+        return spark.createDataFrame([], "dataset string, shard int, file string")
+    folder = shard_folder(root)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load([f"{folder}/run={r}" for r in runs])
+    part = lambda name, text: F.regexp_extract("path", f"/{name}=({text})/", 1)
+    found = files.filter(F.col("path").endswith(".parquet")).select(part("dataset", "[^/]+").alias("dataset"), part("shard", r"\d+").cast("int").alias("shard"), F.col("path").alias("file"))
+    return found if datasets is None else found.filter(F.col("dataset").isin(list(datasets)))
+
+
+def groups_of(metadata: pq.FileMetaData, indices: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """Row groups that hold any of the sorted ``indices`` by their statistics, each with the positions of those it may hold."""
+    column = metadata.schema.names.index("index")
+    out = []
+    for g in range(metadata.num_row_groups):
+        stats = metadata.row_group(g).column(column).statistics
+        low, high = (stats.min, stats.max) if stats is not None and stats.has_min_max else (-(1 << 63), (1 << 63) - 1)
+        a, b = np.searchsorted(indices, low, side="left"), np.searchsorted(indices, high, side="right")
+        if a < b:
+            out.append((g, np.arange(a, b)))
+    return out
+
+
+def _floats(latent: pa.Array, half: pa.Array) -> pa.Array:
+    """Latents as FLOAT, from packed halves where they are kept so."""
+    if latent.null_count == 0:
+        return latent
+    rows = [a if a is not None else None if h is None else np.frombuffer(h, dtype="<f2").astype(np.float32) for a, h in zip(latent.to_pylist(), half.to_pylist())]
+    return pa.array(rows, type=pa.list_(pa.float32()))
+
+
+def _drawn(batches: Iterator[pa.RecordBatch], columns: Sequence[str], kind: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Payload of drawn rows, which come in order of ``_file`` and ``index``."""
+    for batch in batches:
+        files = batch.column("_file").to_pylist()
+        edges = [0, *[i for i in range(1, len(files)) if files[i] != files[i - 1]], len(files)]
+        for a, b in zip(edges, edges[1:]):
+            if a == b:
+                continue
+            part = batch.slice(a, b - a)
+            indices = part.column("index").to_numpy()
+            with open_file(files[a]) as stream:
+                shard = pq.ParquetFile(stream)
+                for group, at in groups_of(shard.metadata, indices):
+                    wanted = ["index", *columns, *(["latent_half"] if "latent" in columns else [])]
+                    table = shard.read_row_group(group, columns=wanted).combine_chunks()
+                    places = {int(x): i for i, x in enumerate(table.column("index").to_pylist())}
+                    hits = [(int(i), places[int(indices[i])]) for i in at if int(indices[i]) in places]
+                    for k in range(0, len(hits), _BATCH_ROWS):
+                        yield _joined(part, table, hits[k : k + _BATCH_ROWS], columns, kind)
+
+
+def _joined(draws: pa.RecordBatch, table: pa.Table, hits: Sequence[tuple[int, int]], columns: Sequence[str], kind: pa.Schema) -> pa.RecordBatch:
+    rows, places = (pa.array(x, type=pa.int64()) for x in zip(*hits))
+    left = draws.take(rows)
+    right = table.take(places).combine_chunks()
+    chunk = lambda name: right.column(name).chunk(0)
+    payload = [_floats(chunk("latent"), chunk("latent_half")) if c == "latent" else chunk(c) for c in columns]
+    arrays = [left.column(n) for n in kind.names if n not in columns]
+    return pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip([*arrays, *payload], kind)], schema=kind)
+
+
+def gather_stored(draws: DataFrame, root: str, columns: Sequence[str] = tuple(_PAYLOAD)) -> DataFrame:
+    """``draws`` (``dataset, shard, index, ...``) with the payload of the stored samples they name, with repetition.
+
+    The draws go to the shards, not the shards to the draws: only narrow rows are shuffled, to tasks of about ``TASK_DRAWS`` draws of the
+    same files, and a task reads the row groups that hold its indices, of the asked columns. Shards that nothing was drawn from are not
+    opened. A shard of many draws is shared by several tasks.
+    """
+    spark = draws.sparkSession
+    shared_folder(spark)
+    placed = draws.join(stored_files(spark, root), ["dataset", "shard"]).withColumnRenamed("file", "_file").checkpoint()
+    counts = placed.groupBy("_file").agg(F.count("*").alias("_n")).select("_file", F.ceil(F.col("_n") / TASK_DRAWS).cast("int").alias("_parts"))
+    total = placed.count()
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(total / TASK_DRAWS))
+    keyed = placed.join(broadcast_if_small(counts), "_file").withColumn("_part", F.pmod(F.xxhash64(*draws.columns), F.col("_parts")))
+    dealt = keyed.repartition(tasks, "_file", "_part").sortWithinPartitions("_file", "index").select(*draws.columns, "_file")
+    fields = [*draws.schema.fields, *[T.StructField(c, T._parse_datatype_string(_PAYLOAD[c])) for c in columns]]
+    schema = T.StructType(fields)
+    kind = to_arrow_schema(schema)
+    return dealt.mapInArrow(lambda batches: _drawn(batches, list(columns), kind), schema)

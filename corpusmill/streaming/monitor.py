@@ -20,25 +20,37 @@ def monitor_loss(stream: DataFrame, every: int = 10) -> DataFrame:
     return every_n(stream, "step", every).select("step", "loss")
 
 
-def smoothed_loss(stream: DataFrame, alpha: float = 0.98, every: int = 1) -> DataFrame:
-    """Smoothed loss per run in order of arrival; the state is one number per run.
+_STATE = "last double, step bigint, seen bigint, steps binary, losses binary"
 
-    ``stream`` has ``run, step, loss``. Each chunk of rows is taken in step order; the order of chunks is
-    that of their arrival. For the exact order over a whole log use the batch operator ``ema``.
+
+def smoothed_loss(stream: DataFrame, alpha: float = 0.98, every: int = 1, lateness: int = 0) -> DataFrame:
+    """Smoothed loss per run in step order: ``run, step, loss, ema``.
+
+    ``stream`` has ``run, step, loss``. The rows of a run that come in one micro-batch are taken together, in order of (step, loss), however Spark cuts
+    them into chunks. With ``lateness``, a row waits in the state until one that is so many steps further has come, so rows may arrive out of order by
+    that much; rows still waiting when the stream stops are smoothed when it goes on. A row that comes later still has a NULL average.
+    The state of a run is its last average and the rows that wait. For a log that is complete use the batch operator ``ema``.
     """
 
     def fold(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        carried = [state.get[0]] if state.exists else []
-        for pdf in pdfs:
-            pdf = pdf.sort_values("step")
-            values = np.concatenate([carried, pdf["loss"].to_numpy(dtype=float)])
-            one_run = np.zeros(len(values), dtype=int)
-            smooth = fold_runs(values, one_run, one_run, alpha)[len(carried) :]
-            carried = [float(smooth[-1])]
-            yield pd.DataFrame({"run": key[0], "step": pdf["step"], "loss": pdf["loss"], "ema": smooth})
-        state.update((carried[0],))
-
-    smoothed = stream.groupBy("run").applyInPandasWithState(
-        fold, OUTPUT, "last double", "append", GroupStateTimeout.NoTimeout
-    )
+        last, at, seen, steps, losses = state.get if state.exists else (None, None, None, b"", b"")
+        waiting = pd.DataFrame({"step": np.frombuffer(steps, dtype=np.int64), "loss": np.frombuffer(losses, dtype=np.float64)})
+        rows = pd.concat([waiting, *[p[["step", "loss"]] for p in pdfs]], ignore_index=True).sort_values(["step", "loss"], kind="stable")
+        seen = int(rows["step"].max()) if seen is None else max(int(seen), int(rows["step"].max()))
+        late = rows["step"] < at if at is not None else rows["step"] != rows["step"]
+        ready = ~late & (rows["step"] <= seen - lateness)
+        values = np.concatenate([[] if last is None else [last], rows.loc[ready, "loss"].to_numpy(dtype=float)])
+        one_run = np.zeros(len(values), dtype=int)
+        smooth = fold_runs(values, one_run, one_run, alpha) if len(values) else values
+        out = rows.assign(ema=np.nan, run=key[0])
+        out.loc[ready, "ema"] = smooth[len(values) - int(ready.sum()) :]
+        wait = rows[~late & ~ready]
+        state.update((
+            float(smooth[-1]) if len(smooth) else None, int(rows.loc[ready, "step"].max()) if ready.any() else at, seen,
+            wait["step"].to_numpy(dtype=np.int64).tobytes(), wait["loss"].to_numpy(dtype=np.float64).tobytes(),
+        ))
+        shown = out[late | ready]
+        yield shown.assign(ema=shown["ema"].astype(object).where(~late[shown.index], None))[["run", "step", "loss", "ema"]]
+
+    smoothed = stream.groupBy("run").applyInPandasWithState(fold, OUTPUT, _STATE, "append", GroupStateTimeout.NoTimeout)
     return every_n(smoothed, "step", every)
