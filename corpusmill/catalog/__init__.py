@@ -6,7 +6,7 @@ from importlib import import_module
 
 from corpusmill.catalog.registry import ORACLE, QUERIES
 
-for _name in ("curation", "sharding", "draws", "diffusion", "analytics", "streams", "archives"):
+for _name in ("curation", "sharding", "draws", "diffusion", "analytics", "streams", "archives", "files"):
     import_module(f"corpusmill.catalog.{_name}")
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from corpusmill.functions import paths
 from corpusmill.session import shared_folder
-from corpusmill.sources.files import list_files, open_file
+from corpusmill.sources.files import create_file, list_files, open_file
 
 CHUNK_BYTES = 64 << 20
 BATCH_BYTES = 16 << 20
@@ -302,17 +302,6 @@ def expand_archives(archives: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> Data
 # --- writing --------------------------------------------------------------------------------------
 
 
-def _create(uri: str):
-    if uri.startswith(("/", "file:")):
-        path, system = "/" + uri.removeprefix("file:").lstrip("/"), fs.LocalFileSystem()
-        system.create_dir(path.rpartition("/")[0], recursive=True)
-        return system.open_output_stream(path)
-    scheme, _, rest = uri.partition("://")
-    authority, _, path = rest.partition("/")
-    system, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
-    return system.open_output_stream(f"{base.rstrip('/')}/{path}")
-
-
 def _pack(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
     current, stream, tar, n = None, None, None, 0
 
@@ -327,7 +316,7 @@ def _pack(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordB
                 if tar is not None:
                     yield close()
                 current, n = label.as_py(), 0
-                stream = _create(f"{folder}/{current}.tar")
+                stream = create_file(f"{folder}/{current}.tar")
                 tar = tarfile.open(fileobj=stream, mode="w|")
             data = content.as_py() or b""
             info = tarfile.TarInfo(member.as_py())

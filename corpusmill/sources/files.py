@@ -43,6 +43,31 @@ def open_file(uri: str):
     return system.open_input_file(f"{base.rstrip('/')}/{path}")
 
 
+def create_file(uri: str):
+    """A file to write at a path as Spark would list it, its folder made where folders exist; an earlier file is replaced."""
+    if uri.startswith(("/", "file:")):
+        path, system = "/" + uri.removeprefix("file:").lstrip("/"), fs.LocalFileSystem()
+        system.create_dir(path.rpartition("/")[0], recursive=True)
+        return system.open_output_stream(path)
+    scheme, _, rest = uri.partition("://")
+    authority, _, path = rest.partition("/")
+    system, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return system.open_output_stream(f"{base.rstrip('/')}/{path}")
+
+
+def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            with create_file(path) as stream:
+                stream.write(content.as_py() or b"")
+        yield pa.RecordBatch.from_arrays([batch.column(0)], names=["path"])
+
+
+def write_files(rows: DataFrame) -> int:
+    """Write each ``path, content`` row as a file of its own; returns their number. A task that runs again writes the same files again."""
+    return rows.select("path", F.col("content").cast("binary")).mapInArrow(_write, "path string").count()
+
+
 def scan_files(
     spark: SparkSession, root: str, extensions: Sequence[str] = paths.IMAGE_EXTENSIONS
 ) -> DataFrame:
