@@ -283,8 +283,8 @@ def read_members(members: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFram
     """
     spark = members.sparkSession
     schema = T.StructType([*members.schema.fields, T.StructField("content", T.BinaryType())])
-    total = members.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    tasks = max(2 * spark.sparkContext.defaultParallelism, math.ceil(total / chunk_bytes))
+    total, count = members.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
+    tasks = max(2 * spark.sparkContext.defaultParallelism, min(count, math.ceil(total / chunk_bytes)))
     return (
         members.withColumn("_chunk", F.floor(F.col("offset") / chunk_bytes))
         .repartition(tasks, "archive", "_chunk")
@@ -296,7 +296,7 @@ def read_members(members: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFram
 
 def expand_archives(archives: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """All members of the archives with their content."""
-    return read_members(index_archives(archives, chunk_bytes).checkpoint(), chunk_bytes)
+    return read_members(index_archives(archives, max(chunk_bytes, _BUFFER)).checkpoint(), chunk_bytes)
 
 
 # --- writing --------------------------------------------------------------------------------------
