@@ -9,6 +9,7 @@ from corpusmill.llm import quality_rules as q
 from corpusmill.llm.registry import query, table
 
 _STOPS = ", ".join(f"'{w}'" for w in q.STOP_WORDS)
+_ENDS = q.PUNCTUATION.replace("'", "''")
 
 SQL = rf"""
 with base as (
@@ -29,7 +30,7 @@ with base as (
     (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
     (len(l) - len(list_distinct(l)))::bigint as n_dup_lines,
     coalesce(c.n, 0)::bigint as n_repeat_words,
-    len(list_filter(w, lambda x: lower(x) in ({_STOPS})))::bigint as n_stop,
+    len(list_filter(w, lambda x: lower(trim(x, '{_ENDS}')) in ({_STOPS})))::bigint as n_stop,
     (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')))::bigint as n_capitals,
     (length(t) - length(replace(t, '!', '')))::bigint as n_excl,
     len(string_split(t, chr(10)))::bigint as n_lines
@@ -40,7 +41,7 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   not (n_words < 10 or 100 * n_repeat_words > 20 * n_words)
     and word_chars / n_words >= 2.0 and word_chars / n_words <= 15.0
     and n_symbols / n_words <= 0.20 and n_excl / n_words <= 0.50 and n_capitals / word_chars <= 0.50
-    and n_stop / n_words >= 0.01 and n_dup_lines / n_lines <= 0.50 as kept
+    and (n_words < 100 or n_stop / n_words >= 0.01) and n_dup_lines / n_lines <= 0.50 as kept
 from counted
 """
 

@@ -3,8 +3,10 @@
 Every metric is a Spark expression over the whole text, every rule a bound on a metric; ``judged`` puts all of
 them into a single projection, without a shuffle and without user functions.
 
+A rule may ask for a least number of words: a short text may do without any stop word.
+
 Defined results: a NULL or empty text has no words, all counts are 0, and it is rejected. Ratios whose
-denominator is 0 are 0. Repeated rows are judged alike. Further columns of the input are kept by ``judged`` unless
+denominator is 0 are 0. An empty table gives an empty result. Repeated rows are judged alike. Further columns of the input are kept by ``judged`` unless
 their name is that of a metric; ``kept_rows`` returns the columns of its input only.
 """
 
@@ -28,17 +30,21 @@ STOP_WORDS = (
     "las", "no", "para", "se", "su", "y",
 )
 
+# Punctuation that is cut off a word before it is looked up as a stop word.
+PUNCTUATION = ".,;:!?\"'()[]{}<>*_-…«»„“”‚‘’¿¡"
+
 WINDOW = 5
 
 
 @dataclass(frozen=True)
 class Rule:
-    """Keep a text when ``metric`` lies within [``least``, ``most``]."""
+    """Keep a text when ``metric`` lies within [``least``, ``most``]; a text of fewer than ``from_words`` words is not judged by it."""
 
     name: str
     metric: str
     least: float | None = None
     most: float | None = None
+    from_words: int = 0
 
 
 # The threshold table. Ratios are per word unless the name says otherwise.
@@ -50,7 +56,7 @@ RULES = (
     Rule("symbols", "symbol_ratio", most=0.20),
     Rule("exclamations", "exclamation_ratio", most=0.50),
     Rule("capitals", "capital_ratio", most=0.50),
-    Rule("no_stop_words", "stop_ratio", least=0.01),
+    Rule("no_stop_words", "stop_ratio", least=0.01, from_words=100),
     Rule("repeated_lines", "dup_line_ratio", most=0.50),
 )
 BASE_RULES = ("few_words", "repeated_words")
@@ -93,7 +99,7 @@ def _counts(text: Column) -> Column:
             occurrences(text, SYMBOLS).cast("bigint").alias("n_symbols"),
             let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
             _repeat_words(words).cast("bigint").alias("n_repeat_words"),
-            F.size(F.filter(words, lambda w: F.lower(w).isin(*STOP_WORDS))).cast("bigint").alias("n_stop_words"),
+            F.size(F.filter(words, lambda w: F.lower(F.btrim(w, F.lit(PUNCTUATION))).isin(*STOP_WORDS))).cast("bigint").alias("n_stop_words"),
             occurrences(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ").cast("bigint").alias("n_capitals"),
             occurrences(text, "!").cast("bigint").alias("n_exclamations"),
             F.size(F.split(text, "\n", -1)).cast("bigint").alias("n_lines"),
@@ -130,6 +136,8 @@ def failed(rules: tuple[Rule, ...], metric: Column) -> Column:
         if rule.most is not None:
             # The share of repeated words is compared in whole numbers.
             out = out | (100 * metric["n_repeat_words"] > rule.most * 100 * metric["n_words"] if rule.metric == "repeat_ratio" else x > rule.most)
+        if rule.from_words:
+            out = out & (metric["n_words"] >= rule.from_words)
         return F.when(out, F.lit(rule.name))
 
     return F.filter(F.array(*[broken(r) for r in rules]), lambda x: x.isNotNull())
