@@ -12,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
+BLOCK = 64
+PIECE = 1024
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -24,6 +26,33 @@ def occurrences(text: Column, chars: str) -> Column:
     return F.length(text) - F.length(F.translate(text, chars, ""))
 
 
+def _scan(numbers: Column, start: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """Running results of ``merge`` over a short array, after ``start``."""
+    begin = F.struct(start.alias("at"), F.array().cast("array<int>").alias("out"))
+    step = lambda acc, x: F.struct(merge(acc["at"], x).alias("at"), F.array_append(acc["out"], merge(acc["at"], x)).alias("out"))
+    return F.aggregate(numbers, begin, step)["out"]
+
+
+def running(numbers: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """Running results of ``merge`` (0 is neutral, order of merging does not matter) over an ``array<int>``.
+
+    An array that grows by appending is copied for each element, so a long one is scanned in blocks: first the results
+    of whole blocks, then each block after that of the blocks before it.
+    """
+    def blocks(parts: Column) -> Column:
+        whole = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), merge))
+        after = lambda ends: F.transform(parts, lambda p, b: _scan(p, F.coalesce(F.get(ends, b - 1), F.lit(0)), merge))
+        return let(_scan(whole, F.lit(0), merge), lambda ends: F.flatten(after(ends)))
+
+    def of(x: Column) -> Column:
+        n = F.size(x)
+        block = lambda b: F.transform(F.sequence(b * BLOCK, F.least(n, (b + 1) * BLOCK) - 1), lambda i: F.get(x, i))
+        last = F.floor((n - 1) / BLOCK).cast("int")
+        return F.when(n <= BLOCK, _scan(x, F.lit(0), merge)).otherwise(let(F.transform(F.sequence(F.lit(0), last), block), blocks))
+
+    return let(numbers, of)
+
+
 def matches(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches as ``array<struct<start, end, value>>``.
 
@@ -31,26 +60,27 @@ def matches(text: Column, pattern: str) -> Column:
     the gaps between the very matches that ``regexp_extract_all`` gives, so positions are running lengths.
     """
     def located(values: Column, gaps: Column) -> Column:
-        seen = F.aggregate(
-            F.arrays_zip(gaps.alias("gap"), values.alias("value")),
-            F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("found")),
-            lambda acc, x: F.when(x["value"].isNull(), acc).otherwise(
-                let(
-                    acc["at"] + F.length(x["gap"]),
-                    lambda start: F.struct(
-                        (start + F.length(x["value"])).alias("at"),
-                        F.concat(
-                            acc["found"],
-                            F.array(F.struct(start.alias("start"), (start + F.length(x["value"])).alias("end"), x["value"].alias("value"))),
-                        ).alias("found"),
-                    ),
-                )
-            ),
+        sizes = F.transform(values, lambda v, i: F.length(F.get(gaps, i)) + F.length(v))
+        at = lambda ends: F.transform(
+            values, lambda v, i: F.struct((F.get(ends, i) - F.length(v)).alias("start"), F.get(ends, i).alias("end"), v.alias("value"))
         )
-        return seen["found"]
+        return let(running(sizes, lambda a, b: a + b), at)
 
     empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
     return let(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        lambda values: F.when(F.size(values) == 0, empty).otherwise(located(values, F.split(text, pattern, -1))),
+        lambda values: F.when(F.size(values) == 0, empty).otherwise(let(F.split(text, pattern, -1), lambda gaps: located(values, gaps))),
     )
+
+
+def pieces(text: Column) -> Column:
+    """``text`` in pieces of ``PIECE`` characters, for ``part``: a substring of a long text walks over all before it."""
+    return F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def part(pieces: Column, start: Column, size: Column) -> Column:
+    """``size`` characters from ``start`` (from 0), or as many as there are; bind ``start`` and ``size`` when they are costly."""
+    first = F.floor(start / PIECE).cast("int")
+    last = F.floor((start + size - 1) / PIECE).cast("int")
+    held = F.array_join(F.transform(F.sequence(first, last), lambda k: F.get(pieces, k)), "")
+    return F.when(size <= 0, F.lit("")).otherwise(F.substring(held, start - first * PIECE + 1, size))

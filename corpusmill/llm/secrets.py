@@ -6,7 +6,9 @@ Both models are counts of character pairs. Random strings are generated by hashi
 alphabets, ``RANDOM_ROWS`` of each); ordinary identifiers are words and joined words of all documents, whose pairs are counted where they
 are read, so at most two numbers per pair leave a task. The table of ratios has one number per pair of printable ASCII characters and becomes a literal of the projection.
 
-Defined results: NULL and empty texts have no spans. Repeated rows are scanned alike. A corpus without identifiers still has a model, by smoothing.
+Defined results: NULL and empty texts have no spans. Repeated rows are scanned alike. A corpus without identifiers still has a model, by smoothing, and
+an empty table gives an empty result. Further columns, whatever their names, are kept in ``row``. Time grows with the length of a text and the number of
+its matches, not with their product.
 """
 
 from __future__ import annotations
@@ -21,7 +23,6 @@ from corpusmill.llm.native import let, matches
 
 RANDOM_ROWS = 5_000
 KINDS = ("assign", "access", "hex")
-LEAST_CHARS = 16
 LEAST_SUM = 12.0  # log odds against a token being random before it is seen
 LEAST_MEAN = 0.25
 _FIRST, _SIZE = 33, 94  # printable ASCII
@@ -80,24 +81,26 @@ def train(docs: DataFrame, text: str = "text", random_rows: int = RANDOM_ROWS) -
 def ratio(token: Column, table: list[float]) -> Column:
     """Sum of the log ratios of the pairs of ``token`` (printable ASCII, two characters or more)."""
     numbers = F.split(F.lit(",".join(f"{x:.5f}" for x in table)), ",").cast("array<double>")  # folded into a literal
-    code = lambda i: F.ascii(F.substring(token, i, F.lit(1))) - _FIRST
-    return F.aggregate(F.sequence(F.lit(1), F.length(token) - 1), F.lit(0.0), lambda s, i: s + F.get(numbers, code(i) * _SIZE + code(i + 1)))
+    pair = lambda c, i: F.get(numbers, (F.ascii(F.get(c, i)) - _FIRST) * _SIZE + F.ascii(F.get(c, i + 1)) - _FIRST)
+    return let(F.split(token, ""), lambda c: F.aggregate(F.sequence(F.lit(0), F.length(token) - 2), F.lit(0.0), lambda s, i: s + pair(c, i)))
 
 
-def all_spans(text: Column, base: Column, table: list[float]) -> Column:
+def _added(tokens: Column, base: Column, table: list[float]) -> Column:
     """``base`` and the random-looking tokens with letters and digits that overlap none of it."""
-    def chosen(m: Column) -> Column:
+    def chosen(m: Column, shade: Column) -> Column:
         value = m["value"]
         score = let(ratio(value, table), lambda s: (s >= LEAST_SUM) & (s >= LEAST_MEAN * F.length(value)))
-        return F.when(~value.rlike("[0-9]") | ~value.rlike("[A-Za-z]") | spans.overlaps(m, base), False).otherwise(score)
+        return F.when(~value.rlike("[0-9]") | ~value.rlike("[A-Za-z]") | spans.overlaps(m, shade), False).otherwise(score)
 
-    tokens = F.when(text.rlike("[A-Za-z0-9+/_=-]{16}"), matches(text, TOKEN)).otherwise(F.array().cast("array<struct<start:int,end:int,value:string>>"))
-    return F.concat(base, spans.labelled(F.filter(tokens, chosen), "random", len(KINDS)))
+    more = let(spans.shadow(base), lambda shade: F.concat(base, spans.labelled(F.filter(tokens, lambda m: chosen(m, shade)), "random", len(KINDS))))
+    return F.when(F.size(tokens) == 0, base).otherwise(more)
 
 
 def with_spans(docs: DataFrame, table: list[float], text: str = "text") -> DataFrame:
     """``row`` (struct of the columns of ``docs``), ``base_spans``, ``spans``."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    t = F.coalesce(F.col("row")[text], F.lit(""))
-    found = let(t, lambda t: let(base_spans(t), lambda base: F.struct(base.alias("base"), all_spans(t, base, table).alias("all"))))
-    return rows.withColumn("found", found).select("row", F.col("found.base").alias("base_spans"), F.col("found.all").alias("spans"))
+    t = F.col("t")
+    tokens = F.when(t.rlike("[A-Za-z0-9+/_=-]{16}"), matches(t, TOKEN)).otherwise(F.array().cast("array<struct<start:int,end:int,value:string>>"))
+    rows = rows.select("row", F.coalesce(F.col("row")[text], F.lit("")).alias("t"))
+    rows = rows.select("row", base_spans(t).alias("base_spans"), tokens.alias("tokens"))
+    return rows.select("row", "base_spans", _added(F.col("tokens"), F.col("base_spans"), table).alias("spans"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusmill.llm.native import matches
+from corpusmill.llm.native import let, matches, part, pieces, running
 
 TYPE = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
@@ -35,23 +35,38 @@ def printed(spans: Column) -> Column:
     return F.array_join(F.transform(F.sort_array(spans), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def overlaps(span: Column, others: Column) -> Column:
-    return F.exists(others, lambda o: (o["start"] < span["end"]) & (span["start"] < o["end"]))
+def shadow(spans: Column) -> Column:
+    """What ``overlaps`` searches: starts in order, the furthest end up to each, and the steps of a binary search."""
+    def of(s: Column) -> Column:
+        steps = F.transform(F.sequence(F.lit(30), F.lit(0)), lambda k: F.pow(F.lit(2), k).cast("int"))
+        return F.struct(
+            F.transform(s, lambda x: x["start"]).alias("starts"),
+            running(F.transform(s, lambda x: x["end"]), lambda a, b: F.greatest(a, b)).alias("reach"),
+            F.filter(steps, lambda k: k <= F.size(s)).alias("steps"),
+        )
 
+    return let(F.sort_array(spans), of)
 
-def replaced(text: Column, spans: Column) -> Column:
-    """``text`` with each maximal run of overlapping spans replaced by its first kind in brackets."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = F.struct(
-            s["end"].alias("at"),
-            F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("out"),
-        )
-        inside = F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))
-        return F.when(s["start"] >= acc["at"], fresh).otherwise(inside)
+def overlaps(span: Column, shade: Column) -> Column:
+    """Whether ``span`` shares a character with a span of ``shade`` (a bound ``shadow``), by binary search."""
+    step = lambda n, k: F.when((n + k <= F.size(shade["starts"])) & (F.get(shade["starts"], n + k - 1) < span["end"]), n + k).otherwise(n)
+    before = F.aggregate(shade["steps"], F.lit(0), step)
+    return F.coalesce(F.get(shade["reach"], before - 1) > span["start"], F.lit(False))
 
-    def finish(acc: Column) -> Column:
-        return F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
 
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(F.sort_array(spans), start, step, finish))
+def replaced(text: Column, spans: Column) -> Column:
+    """``text`` with each maximal run of overlapping spans replaced by its first kind in brackets."""
+    def of(s: Column, reach: Column, held: Column) -> Column:
+        # A span opens a run when nothing before it reaches its start; the text between runs is kept.
+        end = lambda i: F.coalesce(F.get(reach, i - 1), F.lit(0))
+        fresh = lambda x, i: F.concat(part(held, end(i), x["start"] - end(i)), F.lit("["), F.upper(x["kind"]), F.lit("]"))
+        runs = F.transform(s, lambda x, i: F.when(x["start"] >= end(i), fresh(x, i)))
+        last = F.get(reach, F.size(reach) - 1)
+        return F.concat(F.array_join(runs, ""), part(held, last, F.length(text) - last))
+
+    def ends(s: Column) -> Column:
+        return running(F.transform(s, lambda x: x["end"]), lambda a, b: F.greatest(a, b))
+
+    whole = let(F.sort_array(spans), lambda s: let(ends(s), lambda reach: let(pieces(text), lambda held: of(s, reach, held))))
+    return F.when(text.isNull() | (F.size(spans) == 0), text).otherwise(whole)

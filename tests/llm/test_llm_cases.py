@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.llm import boosted_trees, decontamination, main_text, mixing, near_duplicates, personal_data, quality_model, quality_rules, repeats, secrets, spans, warc
+from corpusmill.llm import boosted_trees, decontamination, main_text, mixing, native, near_duplicates, personal_data, quality_model, quality_rules, repeats, secrets, spans, warc
 from corpusmill.llm.components import components
 
 SCHEMA = "doc_id bigint, text string, source string, id string, tie string, row string, quality string, label string, band string, size string"
@@ -44,6 +45,14 @@ def test_quality_rules(docs, nothing):
     assert quality_rules.kept_rows(nothing).count() == 0
 
 
+def test_stop_words(spark):
+    """Punctuation does not hide a stop word, and a text under 100 words may do without any."""
+    texts = ["stone " * 4 + " ".join(f"w{i}" for i in range(40)), " ".join(f"w{i}" for i in range(100)), " ".join(f"w{i}" for i in range(99)) + ' "The,"']
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    assert {r["doc_id"]: r["failed_rules"] for r in quality_rules.judged(docs).collect()} == {0: [], 1: ["no_stop_words"], 2: []}
+    assert {r["doc_id"] for r in quality_rules.kept_rows(docs).collect()} == {0, 2}
+
+
 def test_near_duplicates(docs, nothing):
     found = near_duplicates.near_duplicates(docs).collect()
     assert len(found) == len(ROWS)
@@ -206,6 +215,41 @@ def test_secrets_count_all_documents(spark):
     assert ratios[at] == pytest.approx(np.log(0.5) - np.log(47) - np.log(n) + np.log(n + 46.5), abs=1e-9)
 
 
+@pytest.mark.parametrize("size", [0, 1, 63, 64, 65, 128, 129, 1000])
+def test_running_and_overlaps(spark, size):
+    """Blocks join up, positions count code points, and the binary search finds what a plain loop finds."""
+    found = [(3 * i % 997, 0, 3 * i % 997 + i % 5 + 1, "x") for i in range(size)]
+    asked = [(a, a + n) for a in range(0, 1010, 7) for n in (1, 4)]
+    rows = spark.createDataFrame([(found, asked, "é😀 " + "ab12 " * size)], f"found {spans.TYPE}, asked array<struct<start:int,end:int>>, text string")
+    shade = lambda s: F.transform("asked", lambda m: spans.overlaps(m, s))
+    got = rows.select(
+        native.running(F.transform("found", lambda x: x["end"]), lambda a, b: a + b).alias("sums"), native.let(spans.shadow(F.col("found")), shade).alias("over"),
+        native.matches(F.col("text"), "[0-9]+").alias("at"), spans.replaced(F.col("text"), F.col("found")).alias("cut"),
+    ).first()
+    assert got["sums"] == list(np.cumsum([x[2] for x in found]))
+    assert got["over"] == [any(a < end and start < b for start, _, end, _ in found) for a, b in asked]
+    assert [tuple(m) for m in got["at"]] == [(5 + 5 * i, 7 + 5 * i, "12") for i in range(size)]
+    want, at = "", 0
+    text = "é😀 " + "ab12 " * size
+    for start, _, end, _ in sorted(found):
+        want += text[at:start] + "[X]" if start >= at else ""
+        at = max(at, end)
+    assert got["cut"] == want + text[at:]
+
+
+def test_texts_full_of_matches(spark):
+    """A text of 1 MB with 50,000 matches takes seconds: no step costs matches times length."""
+    ips = " ".join(f"10.{i % 250}.{i // 250}.7 aaaaaaaa" for i in range(50_000))
+    keys = " ".join(f"token=abcdef{i} b" for i in range(50_000))
+    docs = spark.createDataFrame([(1, ips), (2, keys), (3, "Q7" * 500_000)], "doc_id bigint, text string")
+    begin = time.monotonic()
+    clean = {r["doc_id"]: r["text"] for r in personal_data.redacted(docs, personal_data.Chooser({}, {})).collect()}
+    assert clean == {1: " ".join(["[IP] aaaaaaaa"] * 50_000), 2: keys, 3: "Q7" * 500_000}
+    found = {r["row"]["doc_id"]: len(r["spans"]) for r in secrets.with_spans(docs, [0.0] * 94 * 94).collect()}
+    assert found == {1: 0, 2: 50_000, 3: 0}
+    assert time.monotonic() - begin < 60
+
+
 def test_quality_model(spark, docs, nothing):
     labels = spark.createDataFrame([(1, 1, 0), (None, 1, 0), (6, 0, 0), (77, 0, 0), (2, None, 0)], "doc_id bigint, quality int, toxic int")
     model = quality_model.train(docs, labels)
