@@ -269,6 +269,47 @@ def test_mixing(docs, nothing):
     assert mixing.mixed(nothing).count() == 0
 
 
+LONG = "A long sentence, with commas, that reads like part of an article and goes on for a while, as they do."
+LINKS = "<li><a href=a>Source one</a><li><a href=b>Source two</a><li><a href=c>Source three</a>"
+# Pages and their blocks; P is the long sentence. Most have no article element.
+LAYOUTS = {
+    "title and lead beside the box": ("<div id=logo>Acme</div><div><h1>T</h1><p>Short lead.</p><div><p>P</p><p>P</p></div></div><div>© 2020 Acme</div>", "T|Short lead.|P|P"),
+    "two sections": ("<div><h1>T</h1><section><h2>A</h2><p>P</p><p>P</p></section><section><h2>B</h2><p>Short end.</p></section></div>", "T|A|P|P|B|Short end."),
+    "title further up": ("<h1>T</h1><p>Lead here.</p><p>12 May</p><div><div><p>P</p><p>P</p></div></div><p>© 2020 Acme. All rights.</p>", "T|Lead here.|P|P"),
+    "two titles further up": ("<h1>Acme</h1><h1>Shop</h1><div><div><p>P</p><p>P</p></div></div>", "P|P"),
+    "menu and comments": ("<ul><li><a>Home</a><li><a>News</a><li><a>About</a></ul><div><h2>T</h2><p>P</p><p>P</p></div><div class='comment-body'><p>P</p></div>", "T|P|P"),
+    "linked title": ("<div><h1><a href=x>Acme</a></h1><div><p>P</p><p>P</p></div></div>", "P|P"),
+    "bare divs": ("<div><h1>T</h1><div>P</div><div>P</div><div>P</div></div><div class=sidebar>P</div>", "T|P|P|P"),
+    "main": ("<main><h1>T</h1><p>P</p><p>Short.</p></main><footer>P</footer>", "T|P|Short."),
+    "table": ("<div class=nav>P</div><table><tr><td><h1>T</h1><p>P</p><p>P</p></td></tr></table>", "T|P|P"),
+    "definition list": ("<div><h1>T</h1><p>P</p><dl><dt>One<dd>First.</dl><p>P</p></div>", "T|P|One|First.|P"),
+    "sources by their heading": (f"<div><h1>T</h1><p>P</p><p>P</p><h2>Sources</h2><ul>{LINKS}</ul></div>", "T|P|P|Sources|Source one|Source two|Source three"),
+    "links without a heading": (f"<div><h1>T</h1><p>P</p><p>P</p><ul>{LINKS}</ul></div>", "T|P|P"),
+    "links at the end of an article": (f"<article><h1>T</h1><p>P</p><ul>{LINKS}</ul></article>", "T|P|Source one|Source two|Source three"),
+    "links at the head of an article": (f"<article><h1>T</h1><ul>{LINKS}</ul><p>P</p></article>", "T|P"),
+    "more to read in an article": (f"<article><h1>T</h1><p>P</p><h2>Related</h2><ul>{LINKS}</ul></article>", "T|P|Related"),
+    "doubtful classes": (
+        "<article><h1>T</h1><p>P</p><p class='share-price'>EUR 12.40</p><blockquote class='quote alert-free'>Quote.</blockquote><div class='share-buttons'>Share</div>"
+        "<div class='social-housing'><a href=a>Facebook</a> now</div><div class='cookie-price'>x</div><p>P</p></article>", "T|P|EUR 12.40|Quote.|P",
+    ),
+}
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+def test_layouts(name):
+    page, blocks = LAYOUTS[name]
+    want = [LONG if block == "P" else block for block in blocks.split("|")]
+    assert main_text.main_text("<html><body>" + page.replace(">P<", f">{LONG}<") + "</body></html>") == "\n\n".join(want)
+
+
+def test_links_of_an_article_far_down():
+    """Many lists and blocks are linear, and a title of many pieces is whole."""
+    page = "<div><h1>" + "<b>a</b> " * 5_000 + f"</h1><div><p>{LONG}</p>" + f"<ul>{LINKS}</ul><p>{LONG}</p>" * 3_000 + "</div></div>"
+    begin = time.monotonic()
+    assert main_text.main_text(page).split("\n\n") == ["a " * 4_999 + "a"] + [LONG] * 3_001
+    assert time.monotonic() - begin < 10
+
+
 def test_main_text(spark):
     pages = spark.createDataFrame(
         [(1, None, "t", "x"), (1, "", "t", "x"), (2, "<p>One, two &amp; three, long enough to count<p>Next", "t", "x"), (3, "<div>" * 20_000 + "deep", "t", "x")],
