@@ -2,8 +2,26 @@
 
 from __future__ import annotations
 
+import argparse
+import asyncio
+import collections
+import datetime
+import email.message
 import hashlib
+import http.server
+import inspect
+import logging.handlers
+import os
+import random
+import re
+import socket
+import ssl
+import string
+import tarfile
+import threading
 import time
+import unittest
+import urllib.request
 
 import numpy as np
 import pytest
@@ -192,6 +210,22 @@ def test_candidates_outside_base_spans(spark):
     assert all(got[100 + i] == "tel: [NUMBER] or" and got[1000 + i] == "a [PHONE] b" and "[NUMBER]" not in got[2000 + i] for i in range(300))
 
 
+def test_numbers_of_planted_people(spark):
+    """Local numbers of three formats are learned from those with a word for them, and found without one; other numbers are left alone."""
+    r = random.Random(5)
+    d = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    people = (lambda: f"(0{d(2)}) {d(3)}-{d(4)}", lambda: f"0{d(3)} {d(3)} {d(2)} {d(2)}", lambda: f"{d(3)}-{d(2)}-{d(4)}")
+    things = (lambda: f"20{d(2)}/{d(6)}", lambda: f"{d(8)}", lambda: f"20{d(2)}-0{r.randint(1, 9)}-1{d(1)}", lambda: f"1.{d(3)}.{d(3)}.{d(3)}0")
+    rows = [(i, f"{r.choice(['tel: ', 'contact ', 'phone '])}{r.choice(people)()} or so") for i in range(600)]
+    rows += [(1000 + i, f"{r.choice(['invoice ', 'order ', 'then ', 'of '])}{r.choice(things)()} or so") for i in range(900)]
+    rows += [(2000 + i, f"then {r.choice(people)()} or so") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {x["row"]["doc_id"] for x in personal_data.with_spans(docs, personal_data.train(docs)).collect() if any(s["kind"] == "number" for s in x["spans"])}
+    right = {i for i in found if i < 1000 or i >= 2000}
+    assert len(right) >= 0.9 * 620 and len(right) >= 0.95 * len(found)
+    assert len([i for i in found if i >= 2000]) >= 18
+
+
 def test_redaction_of_overlaps(spark):
     one = F.array(*[F.struct(F.lit(a).alias("start"), F.lit(r).alias("rank"), F.lit(b).alias("end"), F.lit(k).alias("kind")) for a, r, b, k in ((2, 0, 6, "ip"), (4, 1, 8, "card"), (8, 1, 9, "card"))])
     assert spark.range(1).select(spans.replaced(F.lit("0123456789é"), one)).first()[0] == "01[IP][CARD]9é"
@@ -210,9 +244,35 @@ def test_secrets(spark, sf_dir, nothing):
 def test_secrets_count_all_documents(spark):
     """Pairs of identifiers are counted in every document, however many there are and whatever their ids."""
     docs = spark.range(30_000).selectExpr("nullif(id, 7) as doc_id", "'zqzqzq' as text")
-    ratios = secrets.train(docs, random_rows=0)
-    n, at = 3 * 30_000 + 0.5, (ord("z") - 33) * 94 + ord("q") - 33
-    assert ratios[at] == pytest.approx(np.log(0.5) - np.log(47) - np.log(n) + np.log(n + 46.5), abs=1e-9)
+    one = lambda n: spark.createDataFrame([(1, "zqzqzq " * n)], "doc_id bigint, text string")
+    got = secrets.train(docs, random_rows=0)
+    assert got == secrets.train(one(30_000), random_rows=0) != secrets.train(one(29_999), random_rows=0)
+
+
+def _identifiers():
+    """Names of Python's own modules and classes, as identifiers that people wrote."""
+    found = set()
+    for module in (argparse, asyncio, collections, datetime, email.message, http.server, inspect, logging.handlers, os, socket, ssl, tarfile, threading, unittest, urllib.request):
+        for name in dir(module):
+            thing = getattr(module, name)
+            found |= {name, *(dir(thing) if isinstance(thing, type) else ())}
+    return sorted({n.strip("_") for n in found if re.fullmatch("[A-Za-z_]{6,}", n.strip("_"))}, key=lambda n: hashlib.md5(n.encode()).digest())
+
+
+def test_secrets_of_held_out_strings(spark):
+    """Trained on half of the names: planted random tokens are found, joined names with numbers from the other half are left alone."""
+    names, r = _identifiers(), random.Random(7)
+    known, held = names[: len(names) // 2], names[len(names) // 2 :]
+    model = secrets.train(spark.createDataFrame([(i, " ".join(known[i : i + 20])) for i in range(0, len(known), 20)], "doc_id bigint, text string"))
+    alphabets = [string.ascii_letters + string.digits + x for x in ("", "+/", "-_")] + [string.ascii_uppercase + string.digits, string.ascii_lowercase + string.digits]
+    planted = ["".join(r.choice(a) for _ in range(n)) for a in alphabets for n in (16, 20, 24, 32, 40) for _ in range(100)]
+    planted = [s for s in planted if re.search("[0-9]", s) and re.search("[A-Za-z]", s)]
+    joined = [r.choice("_-/").join(r.choice(held) for _ in range(r.randint(1, 4))) + r.choice(["", "_", "v"]) + str(r.randint(0, 9999)) for _ in range(4_000)]
+    rows = spark.createDataFrame([(i, f"see {s} now") for i, s in enumerate(planted + joined)], "doc_id bigint, text string")
+    found = {x["row"]["doc_id"]: (x["spans"][0]["start"], x["spans"][0]["end"]) for x in secrets.with_spans(rows, model).collect() if x["spans"]}
+    right = [i for i, s in enumerate(planted) if found.get(i) == (4, 4 + len(s))]
+    assert len(right) >= 0.96 * len(planted)
+    assert len(right) >= 0.99 * len(found) and len(found) - len(right) <= 4
 
 
 @pytest.mark.parametrize("size", [0, 1, 63, 64, 65, 128, 129, 1000])
@@ -245,7 +305,7 @@ def test_texts_full_of_matches(spark):
     begin = time.monotonic()
     clean = {r["doc_id"]: r["text"] for r in personal_data.redacted(docs, personal_data.Chooser({}, {})).collect()}
     assert clean == {1: " ".join(["[IP] aaaaaaaa"] * 50_000), 2: keys, 3: "Q7" * 500_000}
-    found = {r["row"]["doc_id"]: len(r["spans"]) for r in secrets.with_spans(docs, [0.0] * 94 * 94).collect()}
+    found = {r["row"]["doc_id"]: len(r["spans"]) for r in secrets.with_spans(docs, secrets.Model([0.0] * 94 * 94)).collect()}
     assert found == {1: 0, 2: 50_000, 3: 0}
     assert time.monotonic() - begin < 60
 
