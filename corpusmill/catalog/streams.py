@@ -32,6 +32,21 @@ def stream_dedupe(spark, sf_dir):
     return spark.read.parquet(sink).agg(F.count("*").alias("hashes"))
 
 
+@query(
+    "stream_dedupe_known",
+    "SELECT DISTINCT sha1(text) AS sha1 FROM documents WHERE text IS NOT NULL AND text NOT IN (SELECT text FROM documents WHERE lang = 'en' AND text IS NOT NULL)",
+)
+def stream_dedupe_known(spark, sf_dir):
+    """English documents are the corpus that is there; all documents arrive as a stream."""
+    sink, checkpoint = scratch_folder(spark, "sink"), scratch_folder(spark, "stream")
+    known = b.table(spark, sf_dir, "documents").where("lang = 'en'").select(F.sha1("text").alias("sha1"))
+    with dedupe.state_in_rocksdb(spark):
+        stream = _stream(spark, sf_dir, "documents").select("text").where("text is not null")
+        first = dedupe.dedupe_stream_after(stream, F.col("text"), known).select("sha1")
+        ingest.ingest_available(first, sink, checkpoint)
+    return spark.read.parquet(sink).select("sha1")
+
+
 @query(
     "stream_resume_idempotent",
     "SELECT 1 AS run, count(*) AS added FROM documents UNION ALL SELECT 2, 0",

@@ -362,6 +362,23 @@ def test_dedupe_stream(spark, workdir):
     assert spark.read.parquet(f"{workdir}/out").count() == 3
 
 
+def test_dedupe_stream_after_a_batch(spark, workdir):
+    """Contents of the batch are dropped, at the first batch and after a restart; exact integers and NULLs pass; the state lists all hashes."""
+    big = 2**60 + 1
+    stream = stream_of(spark, workdir, [[(big, "a"), (None, "b"), (3, None)], [(4, "b"), (5, "c"), (6, None)]], "id bigint, text string")
+    known = spark.createDataFrame([("a",), ("a",), (None,)], "text string").select(F.sha1("text").alias("sha1"))
+    with dedupe.state_in_rocksdb(spark):
+        new = dedupe.dedupe_stream_after(stream, F.col("text"), known)
+        ingest.ingest_available(new, f"{workdir}/out", f"{workdir}/check")
+        read = lambda: sorted(((r.id, r.text) for r in spark.read.parquet(f"{workdir}/out").collect()), key=str)
+        # Which of two files comes first is up to their times.
+        assert [t for _, t in sorted(read(), key=lambda x: str(x[1]))] == [None, "b", "c"] and dedupe.seen_contents(spark, f"{workdir}/check").count() == 4
+        spark.createDataFrame([(big, "d"), (8, "a"), (9, "c")], "id bigint, text string").coalesce(1).write.parquet(f"{workdir}/in/9")
+        ingest.ingest_available(new, f"{workdir}/out", f"{workdir}/check")
+    assert (big, "d") in read() and len(read()) == 4
+    assert spark.conf.get(dedupe.PROVIDER) != dedupe.ROCKSDB
+
+
 def test_smoothed_loss_stream(spark, workdir):
     batches = [[("r", 2, 4.0), ("r", 1, 2.0), ("q", 1, 1.0)], [("r", 3, 8.0)]]
     stream = stream_of(spark, workdir, batches, "run string, step bigint, loss double")
