@@ -121,8 +121,9 @@ def _shares(n: np.ndarray) -> np.ndarray:
 
 def train(docs: DataFrame, text: str = "text", random_rows: int = RANDOM_ROWS) -> Model:
     """Both models and the threshold, from one pass over ``docs``."""
-    words = F.explode(F.regexp_extract_all(F.col(text), F.lit(IDENTIFIER), F.lit(0)))
-    ordinary = docs.select(F.lit(0).alias("label"), words.alias("s")).where(F.length("s") >= 6).select("label", F.concat(F.lit(" "), "s", F.lit(" ")).alias("s"))
+    # Blanks are put around words before they are exploded: later, the optimiser would do it again for every pair.
+    words = F.transform(F.regexp_extract_all(F.col(text), F.lit(IDENTIFIER), F.lit(0)), lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
+    ordinary = docs.select(F.lit(0).alias("label"), F.explode(words).alias("s")).where(F.length("s") >= 6 + 2)
     counts = _pairs(ordinary.union(_random_strings(docs.sparkSession, random_rows))).collect()  # at most two numbers per pair
     n = np.zeros((2, _SIZE + 1, _SIZE + 1))  # the last row and column are the blanks around a word
     for label, pair, count in counts:
