@@ -3,15 +3,15 @@
 The base finds e-mail addresses, IP addresses, card numbers and phone numbers by format and check. Wide generators then propose spans that may
 overlap these and each other: number-like runs, written-out addresses, account numbers. Accounts that pass their remainder check are always added;
 so are written-out addresses outside base spans that have the base format once normalised. A boosted tree ensemble decides on the
-candidates left, by format and context (never by the outcome of a check). For each generator it is fitted on a sample of its candidates in all
-documents that could be added, outside base spans and what is added before (those with the least hash, about ``MAX_ROWS``, all where there are fewer).
+candidates left, by format and context (never by the outcome of a check). For each generator it is fitted on all its candidates in all
+documents that could be added, outside base spans and what is added before; those with equal features and label are one kind with its number.
 Positive are confirmed accounts and addresses, and numbers with a word for and none against personal data before them; the trees of numbers do not
-see these words. A third of the sample sets the least score at which ``PRECISION`` of the candidates are positive. Base spans always stay. Scoring is one projection of Spark
+see these words. Of all candidates, those in a third by hash are not fitted on; all of them set the least score at which ``PRECISION`` of the candidates are positive. Base spans always stay. Scoring is one projection of Spark
 functions.
 
 Defined results: NULL and empty texts have no spans, an empty table gives an empty result. Repeated rows are scanned alike. Patterns are written so that
 they are linear on long runs; time grows with the length of a text and the number of its matches, not with their product. A generator with fewer than
-``LEAST`` candidates in the third of its sample that is held out has no trees and no threshold.
+``LEAST`` candidates in the third that is held out has no trees and no threshold.
 Without positive candidates, only confirmed ones are added. A valid account number is added even where it overlaps a base span, so no part of it stays. ``redacted`` keeps a NULL text NULL and all columns of its input.
 """
 
@@ -27,7 +27,7 @@ from corpusmill.llm import boosted_trees, spans
 from corpusmill.llm.native import let, matches, part, pieces
 from corpusmill.session import shared_folder
 
-MAX_ROWS = 20_000
+MAX_ROWS = 20_000  # kinds of candidates that are fitted on the driver; more are fitted by Spark jobs, with the same result
 PRECISION = 0.95
 LEAST = 30
 KINDS = ("email", "ip", "card", "phone")
@@ -190,32 +190,47 @@ def _open_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     return rows.select(F.explode_outer("c").alias("c")).where("c is not null").select("c.g", "c.h", "c.seen")
 
 
-def train(docs: DataFrame, key: str = "doc_id", text: str = "text", max_rows: int = MAX_ROWS) -> Chooser:
-    """Trees and thresholds; ``docs`` is read once, its candidates (values with 25 characters around them) are checkpointed."""
-    shared_folder(docs.sparkSession)
-    rows = _open_rows(docs, key, text).checkpoint()
-    sizes = dict(rows.groupBy("g").count().collect())
-    # The share of all hashes that holds about ``max_rows`` candidates of each generator.
-    bounds = [min(int(min(1.0, max_rows / max(sizes.get(i, 0), 1)) * (2**64 - 1)) - 2**63, 2**63 - 1) for i in range(len(GENERATORS))]
-    one = rows.where(F.col("h") <= F.element_at(F.array(*[F.lit(x).cast("bigint") for x in bounds]), F.col("g") + 1))
+def _kinds(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """All candidates that could be added, counted by generator ``g``, whether they are ``held`` out, label ``y`` and features ``x``."""
+    rows = _open_rows(docs, key, text)
     value = F.col("seen.value")
     confirmed = F.when(F.col("g") == 0, _account_holds(value)).when(F.col("g") == 1, _address_holds(value)).otherwise(False)
-    found = one.select("g", "h", confirmed.cast("int").alias("y"), _features(F.col("seen")).alias("x")).distinct().collect()
-    found.sort(key=lambda r: (r["h"], r["y"], r["x"]))
+    rows = rows.select("g", "h", confirmed.alias("confirmed"), _features(F.col("seen")).alias("x")).distinct()  # repeated rows are one
+    cues = [FEATURES.index("cue_for"), FEATURES.index("cue_against")]
+    cued = (F.get("x", F.lit(cues[0])) == 1) & (F.get("x", F.lit(cues[1])) == 0)
+    learned = F.col("g").isin([i for i, name in enumerate(NAMES) if name not in CHECKS])
+    unseen = F.transform("x", lambda v, i: F.when(i.isin(cues), 0).otherwise(v))  # what labels a number is not a feature of it
+    rows = rows.select(
+        "g", (F.col("h") % 3 == 0).alias("held"), F.when(learned, cued).otherwise(F.col("confirmed")).cast("int").alias("y"),
+        F.when(learned, unseen).otherwise(F.col("x")).alias("x"),
+    )
+    return rows.groupBy("g", "held", "y", "x").agg(F.count("*").alias("n"))
+
+
+def train(docs: DataFrame, key: str = "doc_id", text: str = "text", max_rows: int = MAX_ROWS) -> Chooser:
+    """Trees and thresholds from all candidates; ``docs`` is read once, the kinds of candidates are checkpointed.
+
+    A generator's kinds come to the driver when there are at most ``max_rows`` of them; trees and thresholds are the same with any ``max_rows``.
+    """
+    shared_folder(docs.sparkSession)
+    kinds = _kinds(docs, key, text).checkpoint()
+    totals = {(r["g"], r["held"]): r for r in kinds.groupBy("g", "held").agg(F.count("*").alias("kinds"), F.sum("n").alias("n"), F.max("y").alias("y")).collect()}
     models, least = {}, {}
-    for i, (name, _) in enumerate(GENERATORS):
-        own = [r for r in found if r["g"] == i]
-        y = np.array([r["y"] for r in own], dtype=np.float64)
-        x = boosted_trees.matrix([r["x"] for r in own], len(FEATURES))
-        if name not in CHECKS:
-            cues = [FEATURES.index("cue_for"), FEATURES.index("cue_against")]
-            y = ((x[:, cues[0]] == 1) & (x[:, cues[1]] == 0)).astype(np.float64)
-            x[:, cues] = 0  # what labels a number is not a feature of it
-        held = np.array([r["h"] % 3 == 0 for r in own], dtype=bool)
-        if held.sum() < LEAST or not y[held].any() or not y[~held].any():
+    for i, name in enumerate(NAMES):
+        out, held = totals.get((i, False)), totals.get((i, True))
+        if not out or not held or held["n"] < LEAST or not held["y"] or not out["y"]:
             continue
-        models[name] = boosted_trees.fit(x[~held], y[~held])
-        cut = boosted_trees.calibrated(boosted_trees.margins(models[name], x[held]), y[held], PRECISION, LEAST)
+        own = kinds.where(F.col("g") == i)
+        if out["kinds"] + held["kinds"] <= max_rows:
+            found = own.collect()
+            x = boosted_trees.matrix([r["x"] for r in found], len(FEATURES))
+            y, n = np.array([r["y"] for r in found], dtype=np.float64), np.array([r["n"] for r in found], dtype=np.int64)
+            apart = np.array([r["held"] for r in found], dtype=bool)
+            models[name] = boosted_trees.fit(x[~apart], y[~apart], n=n[~apart])
+            cut = boosted_trees.calibrated(boosted_trees.margins(models[name], x[apart]), y[apart], PRECISION, LEAST, n[apart])
+        else:
+            models[name] = boosted_trees.fit_spread(own.where("not held"))
+            cut = boosted_trees.calibrated_spread(own.where("held"), models[name], PRECISION, LEAST)
         if np.isfinite(cut):
             least[name] = cut
     return Chooser(models, least)

@@ -226,6 +226,19 @@ def test_numbers_of_planted_people(spark):
     assert len([i for i in found if i >= 2000]) >= 18
 
 
+def test_candidates_are_all_fitted_on(spark):
+    """Trees and thresholds come from all candidates, however few of them may come to the driver."""
+    r = random.Random(7)
+    d = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    cue = lambda often, seldom: r.choice([often] * 40 + [seldom])
+    rows = [(i, f"{cue('tel: ', 'then ')}0{d(3)} {d(r.randint(3, 5))} {d(2)} or so") for i in range(400)]
+    rows += [(1000 + i, f"{cue('order ', 'tel: ')}20{d(2)}/{d(r.randint(4, 8))} or so") for i in range(400)] + [(1000 + i, "pay 1234567 now") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    whole = personal_data.train(docs)
+    assert "number" in whole.least and personal_data.train(docs, max_rows=0) == whole
+    assert personal_data._kinds(docs.union(docs), "doc_id", "text").agg(F.sum("n")).first()[0] == 809
+
+
 def test_redaction_of_overlaps(spark):
     one = F.array(*[F.struct(F.lit(a).alias("start"), F.lit(r).alias("rank"), F.lit(b).alias("end"), F.lit(k).alias("kind")) for a, r, b, k in ((2, 0, 6, "ip"), (4, 1, 8, "card"), (8, 1, 9, "card"))])
     assert spark.range(1).select(spans.replaced(F.lit("0123456789é"), one)).first()[0] == "01[IP][CARD]9é"
