@@ -110,10 +110,12 @@ def image_files(spark, sf_dir):
     src.write_files(b.table(spark, sf_dir, "documents").select(path.alias("path"), content.alias("content")))
     found = src.read_images(spark, folder)
     first = F.conv(F.hex(F.substring("data", 1, 1)), 16, 10).cast("int")
-    return found.select(
+    narrow = found.select(
         F.regexp_extract("path", r"a b\+%20/(\d+)\.bmp$", 1).cast("bigint").alias("doc_id"), "verdict.ok", "verdict.width",
         F.when(F.col("verdict.ok"), first).alias("first"),
     )
+    with src.small_files(spark):
+        return narrow.checkpoint()
 
 
 def _square(content: bytes) -> np.ndarray:
