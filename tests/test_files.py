@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import fixtures as fx
+from corpusmill.catalog import QUERIES
 from corpusmill.functions.paths import basename
 from corpusmill.operators import models
 from corpusmill.plans import ingest, reports
@@ -61,6 +62,23 @@ def test_scan_corpus_lists_stored_paths(spark, workdir):
     assert listed[0] == f"{workdir}/out/images/a.png" and listed[2] == f"{workdir}/out/images/sub/other.png"
 
 
+def test_small_files_share_tasks(spark, workdir, sf_dir):
+    """Images are not read a few to a task; the setting that deals them is put back."""
+    fx.write(f"{workdir}/raw/one.txt", "x")
+    for i in range(200):
+        fx.write(f"{workdir}/raw/{i}.png", fx.png(9, 8, i))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", files.OPEN_COST)}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        scan = scan_corpus(spark, f"{workdir}/raw", f"{workdir}/out", min_side=8)
+        found = [scan.judged, QUERIES["image_files"](spark, sf_dir)]
+        assert spark.conf.get(files.OPEN_COST) == kept[files.OPEN_COST]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept["spark.sql.files.maxPartitionBytes"])
+    assert [df.count() for df in found] == [200, spark.read.parquet(f"{sf_dir}/documents.parquet").count()]
+    assert max(df.rdd.getNumPartitions() for df in found) <= 16
+
+
 def test_scan_corpus_without_valid_files(spark, workdir):
     root = fx.image_tree(f"{workdir}/raw")
     with pytest.raises(ValueError, match="no valid images"):
