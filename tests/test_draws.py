@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -126,6 +128,37 @@ def test_smoothing_does_not_depend_on_chunks(spark, workdir):
         assert [found[0][run, s] for s, _ in own] == pytest.approx(loop([x for _, x in own], 0.5))
 
 
+def test_smoothing_holds_little_for_a_row(monkeypatch):
+    """A run of a micro-batch is given back in blocks that go on from each other, in less than 64 bytes for each row."""
+    class Run:
+        def groupBy(self, _):
+            return self
+
+        def applyInPandasWithState(self, fold, *_):
+            self.fold = fold
+            return self
+
+    class State:
+        exists, got = False, None
+
+        def update(self, got):
+            self.got = got
+
+    monkeypatch.setattr(monitor, "every_n", lambda df, *_: df)
+    n, state = 600_000, State()
+    fold = monitor.smoothed_loss(Run(), 0.5).fold
+    order = np.random.default_rng(2).permutation(n)
+    chunks = (pd.DataFrame({"run": "r", "step": order[i : i + 10_000], "loss": order[i : i + 10_000] % 7.0}) for i in range(0, n, 10_000))
+    tracemalloc.start()
+    try:
+        ends = [(len(f), f["ema"].iloc[-1], f["step"].iloc[-1]) for f in fold(("r",), chunks, state)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(k for k, _, _ in ends) == n and max(k for k, _, _ in ends) < n / 4 and peak < 64 * n
+    assert ends[-1][1:] == (pytest.approx(loop([i % 7.0 for i in range(n)], 0.5)[-1]), n - 1) and state.got[:3] == (ends[-1][1], n - 1, n - 1)
+
+
 def test_smoothing_waits_for_late_rows(spark, workdir):
     batches = [[("r", 1, 2.0), ("r", 4, 8.0)], [("r", 2, 4.0), ("r", 9, 1.0)], [("r", 3, 6.0), ("r", 30, 0.0)]]
     got = smoothed(spark, workdir, "late", batches, lateness=5)
