@@ -108,14 +108,13 @@ def image_files(spark, sf_dir):
     content = F.when(F.col("doc_id") % 17 == 0, F.lit("BM, but no image").cast("binary")).otherwise(_bitmap(F.expr(_W), F.expr(_H), F.expr(_V)))
     path = F.concat(F.lit(f"{folder}/a b+%20/"), F.format_string("%09d.bmp", "doc_id"))
     src.write_files(b.table(spark, sf_dir, "documents").select(path.alias("path"), content.alias("content")))
-    found = src.read_images(spark, folder)
     first = F.conv(F.hex(F.substring("data", 1, 1)), 16, 10).cast("int")
-    narrow = found.select(
-        F.regexp_extract("path", r"a b\+%20/(\d+)\.bmp$", 1).cast("bigint").alias("doc_id"), "verdict.ok", "verdict.width",
-        F.when(F.col("verdict.ok"), first).alias("first"),
+    return src.read_in_rounds(
+        spark, src.read_images, folder, lambda found: found.select(
+            F.regexp_extract("path", r"a b\+%20/(\d+)\.bmp$", 1).cast("bigint").alias("doc_id"), "verdict.ok", "verdict.width",
+            F.when(F.col("verdict.ok"), first).alias("first"),
+        ),
     )
-    with src.small_files(spark):
-        return narrow.checkpoint()
 
 
 def _square(content: bytes) -> np.ndarray:

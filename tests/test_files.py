@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+import os
 
 import numpy as np
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 import fixtures as fx
@@ -79,6 +81,74 @@ def test_small_files_share_tasks(spark, workdir, sf_dir):
     assert max(df.rdd.getNumPartitions() for df in found) <= 16
 
 
+def reads(monkeypatch, name):
+    """How many files each call of a reader lists, and no more than 60 at once."""
+    listed, read = [], getattr(files, name)
+
+    def counted(*args):
+        listed.append(len((found := read(*args)).inputFiles()))
+        return found
+
+    monkeypatch.setattr(files, name, counted)
+    monkeypatch.setattr(files, "FILES_AT_ONCE", 60, raising=False)
+    return listed
+
+
+def test_images_are_decoded_a_number_of_files_at_a_time(spark, sf_dir, workdir, monkeypatch):
+    """The driver holds the listing of one read, not of the folder."""
+    want = {tuple(r) for r in QUERIES["image_files"](spark, sf_dir).collect()}
+    listed = reads(monkeypatch, "read_images")
+    rows = QUERIES["image_files"](spark, sf_dir).collect()
+    assert {tuple(r) for r in rows} == want and len(rows) == len(want) == sum(listed)
+    assert max(listed) <= 60 < sum(listed)
+
+
+def odd_tree(root):
+    """Names that file sources leave out, and odd ones that they read."""
+    for name in (*ODD, "_x=1/a.png", "_metadata.png", "sub/deep/b.JPG", "sub/c.txt", "[x]/d.png", "back\\slash.png"):
+        fx.write(f"{root}/{name}", fx.png(9, 8, 1))
+    for name in (".h.png", "_h.png", "_h/x.png", ".h/x.png", "sub/_y/x.png", "n.png._COPYING_"):
+        fx.write(f"{root}/{name}", fx.png(9, 8, 1))
+    os.symlink(f"{root}/sub/c.txt", f"{root}/link.png")
+    os.symlink(f"{root}/nothing", f"{root}/broken.png")
+    os.symlink(f"{root}/sub/deep", f"{root}/linked")
+    with open(os.fsencode(f"{root}/no text ") + b"\xff.png", "wb") as f:
+        f.write(b"x")
+    return root
+
+
+def test_walk_finds_what_spark_lists(spark, workdir, monkeypatch):
+    raw = odd_tree(f"{workdir}/raw")
+    spark.conf.set("fs.viewfs.mounttable.walked.link./in", f"file://{workdir}")
+    for root in (raw, f"file://{raw}/", f"{workdir}/r*", f"{raw}/{{sub,sub/deep}}", f"{raw}/sub/deep/b.JPG", f"{raw}/s*", "viewfs://walked/in/raw", f"{raw}/none*"):
+        try:
+            want = sorted(r.path for r in files.list_files(spark, root).select("path").collect())
+        except AnalysisException:
+            want = []
+        spark_names = [f.replace("file:///", "file:/") for f in want]
+        walked = [f for f in files.walk_files(spark, root) if not f.endswith("/_metadata.png")]
+        assert sorted(walked) == spark_names, root
+    assert list(files.walk_files(spark, f"{raw}/none")) == []
+
+
+@pytest.mark.parametrize("reader", ["read_files", "read_images"])
+def test_rounds_give_the_rows_of_one_read(spark, workdir, monkeypatch, reader):
+    raw = odd_tree(f"{workdir}/raw")
+    open(f"{raw}/empty.png", "w").close()
+    read = getattr(files, reader)
+    want = sorted(r.path for r in read(spark, raw).select("path").collect())
+    monkeypatch.setattr(files, "FILES_AT_ONCE", 4)
+    kept = {k: spark.conf.get(k) for k in (files.OPEN_COST, files.LOOKUP_TASKS, files.LOOKUP_KEPT)}
+    got = files.read_in_rounds(spark, read, raw, lambda rows: rows.select("path"))
+    assert sorted(r.path for r in got.collect()) == want and len(want) > 8
+    assert {k: spark.conf.get(k) for k in kept} == kept
+    for i in range(5):
+        fx.write(f"{workdir}/texts/{i}.txt", "x")
+    assert files.read_in_rounds(spark, read, f"{workdir}/texts", lambda rows: rows.select("path")).collect() == []
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        files.read_in_rounds(spark, read, f"{raw}/none", lambda rows: rows)
+
+
 def test_scan_corpus_without_valid_files(spark, workdir):
     root = fx.image_tree(f"{workdir}/raw")
     with pytest.raises(ValueError, match="no valid images"):
