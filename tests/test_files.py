@@ -103,6 +103,18 @@ def test_images_are_decoded_a_number_of_files_at_a_time(spark, sf_dir, workdir,
     assert max(listed) <= 60 < sum(listed)
 
 
+def test_a_folder_is_scanned_a_number_of_files_at_a_time(spark, workdir, monkeypatch):
+    for i in range(150):
+        fx.write(f"{workdir}/raw/{i:03d}.png", fx.png(9, 8 if i % 3 else 7, i % 100) if i % 10 else "no image")
+    judged = [{tuple(r) for r in scan_corpus(spark, f"{workdir}/raw", f"{workdir}/one", min_side=8, dedupe=True).judged.collect()}]
+    listed = reads(monkeypatch, "read_files")
+    scan = scan_corpus(spark, f"{workdir}/raw", f"{workdir}/out", min_side=8, dedupe=True)
+    judged.append({tuple(r) for r in scan.judged.collect()})
+    assert judged[0] == judged[1] and max(listed) <= 60 < sum(listed) == 150
+    both = [sorted(r.path for r in text.read_filelist(spark, f"{workdir}/{x}/filelist").collect()) for x in ("one", "out")]
+    assert both[0] == both[1] and len(both[0]) == scan.report.valid.count()
+
+
 def odd_tree(root):
     """Names that file sources leave out, and odd ones that they read."""
     for name in (*ODD, "_x=1/a.png", "_metadata.png", "sub/deep/b.JPG", "sub/c.txt", "[x]/d.png", "back\\slash.png"):
